@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from importlib import import_module
-
-#: One module for each problem.
-MODULES = ("p01_boilerplate", "p02_neardup", "p03_sitelines", "p04_cap", "p05_increment", "p06_language", "p07_residue", "p08_packing", "p09_mixing", "p10_sentences")
+from pkgutil import iter_modules
 
 
 def _all(attr: str) -> dict:
+    package = import_module(__package__)
     out: dict = {}
-    for m in MODULES:
+    for m in sorted(m.name for m in iter_modules(package.__path__) if m.name[:1] == "p" and m.name[1:3].isdigit()):
         out |= getattr(import_module(f"{__package__}.{m}"), attr)
     return out
 
