@@ -3,7 +3,7 @@
 Site style tree: the pages of one host are merged by presentation (which element a text block sits in, what kind of
 branch holds that element, whether all of it is a link). A node's importance is one minus the mean entropy of its
 content features over the pages that have the node: lines that stand on every page have entropy 1, lines of one page 0.
-Nodes of few pages are smoothed by the same presentation on all hosts. Text wholly inside links has no importance of
+Nodes of few pages are smoothed by the same presentation on all hosts. A block that is at least half link text has no importance of
 its own. Blocks of nodes below THRESHOLD are removed; what remains is the main body.
 
 Lines of ``extracted_content.text`` take the decision of the equal block of their page. Lines without such a block
@@ -63,7 +63,7 @@ def decode(content: bytes, content_type: str | None) -> str:
 
 
 def page_blocks(page: str) -> list[tuple[str, str, bool, str]]:
-    """(branch, leaf, inside a link, text) of each text block of a page in order."""
+    """(branch, leaf, at least half of it a link, text) of each text block of a page in order."""
     page = _DROP.sub(" ", page)
     # an open element: [tag, parent index, has block children, has h1, has paragraphs]
     nodes: list[list] = [["body", -1, False, False, False]]
@@ -84,7 +84,7 @@ def page_blocks(page: str) -> list[tuple[str, str, bool, str]]:
             for part in parts:
                 text = " ".join(part.split())
                 if text:
-                    out.append((node, text, linked > 0 and plain == 0))
+                    out.append((node, text, linked > 0 and linked >= plain))
             buf.clear()
             linked = plain = 0
 
@@ -95,9 +95,9 @@ def page_blocks(page: str) -> list[tuple[str, str, bool, str]]:
             buf.append(t)
             if not t.isspace():
                 if links:
-                    linked += 1
+                    linked += len(t)
                 else:
-                    plain += 1
+                    plain += len(t)
         at = m.end()
         tag = m.group(2).lower()
         if tag not in BLOCK:
@@ -139,7 +139,7 @@ def page_blocks(page: str) -> list[tuple[str, str, bool, str]]:
     if at < len(page):
         t = page[at:]
         buf.append(t if "<" not in t else t[: t.index("<")])
-        plain += 1
+        plain += len(t)
     flush()
     for node, text, _ in out:  # bare text of paragraph length makes its branch a holder of paragraphs
         if nodes[node][0] not in TEXTUAL and nodes[node][2] and len(text) >= LONG_LINE:
