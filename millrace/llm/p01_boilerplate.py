@@ -102,7 +102,16 @@ def page_blocks(page: str) -> list[tuple[str, str, bool, str]]:
         tag = m.group(2).lower()
         if tag not in BLOCK:
             if tag == "a":
-                links = max(0, links - 1) if m.group(1) else links + 1
+                # directly in a branch, a link on a line of its own in the source is a block of its own
+                alone = nodes[stack[-1]][0] not in TEXTUAL
+                if m.group(1):
+                    links = max(0, links - 1)
+                    if alone and page[at : at + 1] in ("\n", "\r"):
+                        flush()
+                else:
+                    if alone and buf and buf[-1][-1:] == "\n":
+                        flush()
+                    links += 1
             continue
         flush()
         if tag in VOID or tag in ("html", "body"):
