@@ -20,7 +20,7 @@ import html
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.canon import site_of
@@ -29,6 +29,8 @@ from millrace.session import cut_lineage
 from millrace.sources import table
 
 THRESHOLD = 0.55
+#: A branch whose leaves have less importance than this on average, by length of text, goes as a whole.
+BRANCH = 0.4
 #: Blocks of weight that the pooled importance of a presentation has against a host's own blocks.
 PRIOR = 30.0
 #: A template's own record: at least so many blocks on all pages, and share of them that was removed (or kept).
@@ -150,8 +152,8 @@ def page_blocks(page: str) -> list[tuple[str, str, bool, str]]:
         buf.append(t if "<" not in t else t[: t.index("<")])
         plain += len(t)
     flush()
-    for node, text, _ in out:  # bare text of paragraph length makes its branch a holder of paragraphs
-        if nodes[node][0] not in TEXTUAL and nodes[node][2] and len(text) >= LONG_LINE:
+    for node, text, link in out:  # bare text of paragraph length makes its branch a holder of paragraphs
+        if not link and nodes[node][0] not in TEXTUAL and nodes[node][2] and len(text) >= LONG_LINE:
             nodes[node][4] = True
     blocks = []
     for node, text, link in out:
@@ -186,15 +188,17 @@ def _hash(text: str) -> int:
 def _parse_pages(batches):
     for b in batches:
         ids, sites, types, bodies = (c for c in b.columns)
-        rows: dict[str, list] = {k: [] for k in ("keys", "links", "hs", "ms", "ts")}
+        rows: dict[str, list] = {k: [] for k in ("keys", "branches", "lens", "links", "hs", "ms", "ts")}
         for body, kind in zip(bodies, types.to_pylist(), strict=True):
             got = page_blocks(decode(body.as_py() or b"", kind))
             rows["keys"].append([_hash(f"{x[0]}|{x[1]}|{x[2]}") for x in got])
+            rows["branches"].append([_hash(x[0]) for x in got])
+            rows["lens"].append([len(x[3]) for x in got])
             rows["links"].append([x[2] for x in got])
             rows["hs"].append([_hash(x[3]) for x in got])
             rows["ms"].append([_hash(_DIGITS.sub("0", x[3].lower())) for x in got])
             rows["ts"].append([_hash(template(x[3])) for x in got])
-        yield pa.RecordBatch.from_arrays([ids, sites, *(pa.array(rows[k], pa.list_(pa.bool_() if k == "links" else pa.int64())) for k in rows)], ["request_id", "site", *rows])
+        yield pa.RecordBatch.from_arrays([ids, sites, *(pa.array(rows[k], pa.list_({"links": pa.bool_(), "lens": pa.int32()}.get(k, pa.int64()))) for k in rows)], ["request_id", "site", *rows])
 
 
 def _parse_texts(batches):
@@ -213,7 +217,9 @@ def _parse_texts(batches):
 
 
 def style_importance(pages: DataFrame) -> DataFrame:
-    """(site, key, imp): importance of each node of each host's style tree. ``pages``: site, keys, ms (one item per block)."""
+    """(site, key, imp): importance of each node of each host's style tree, 0 in branches that go as a whole.
+
+    ``pages``: site, keys, branches, lens, links, ms (one item per block)."""
     pair = pages.select("site", F.explode(F.array_distinct(F.arrays_zip(F.col("keys").alias("key"), F.col("ms").alias("m")))).alias("z")).groupBy("site", "z.key", "z.m").agg(F.count(F.lit(1)).alias("k"))
     have = pages.select("site", F.explode(F.array_distinct("keys")).alias("key")).groupBy("site", "key").agg(F.count(F.lit(1)).alias("pages"))
     node = pair.groupBy("site", "key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log(F.col("k").cast("double"))).alias("klogk")).join(have, ["site", "key"])
@@ -221,7 +227,12 @@ def style_importance(pages: DataFrame) -> DataFrame:
     node = cut_lineage(node.select("site", "key", "ent", "w", "pages"))
     # the same presentation on all hosts with enough pages to tell
     pool = node.filter("pages >= 8").groupBy("key").agg((F.sum("ent") / F.sum("w")).alias("prior"))
-    return node.join(pool, "key", "left").select("site", "key", (1 - (F.col("ent") + PRIOR * F.coalesce("prior", F.lit(0.4))) / (F.col("w") + PRIOR)).alias("imp"))
+    own = node.join(pool, "key", "left").select("site", "key", (1 - (F.col("ent") + PRIOR * F.coalesce("prior", F.lit(0.4))) / (F.col("w") + PRIOR)).alias("imp"))
+    # composite importance of a branch: that of its leaves by their text, links counting nothing
+    mass = pages.select("site", F.explode(F.arrays_zip("keys", "branches", "links", "lens")).alias("z")).groupBy("site", F.col("z.keys").alias("key"), F.col("z.branches").alias("branch"), F.col("z.links").alias("link")).agg(F.sum("z.lens").alias("mass"))
+    leaf = mass.join(own, ["site", "key"]).withColumn("imp", F.when(F.col("link"), F.lit(0.0)).otherwise(F.col("imp")))
+    w = Window.partitionBy("site", "branch")
+    return leaf.select("site", "key", F.when(F.sum(F.col("imp") * F.col("mass")).over(w) >= BRANCH * F.sum("mass").over(w), F.col("imp")).otherwise(F.lit(0.0)).alias("imp"))
 
 
 def judged_pages(pages: DataFrame) -> DataFrame:
@@ -272,7 +283,7 @@ def body_lines(crawl: DataFrame, extracted: DataFrame) -> DataFrame:
     records without a page and repeated rows are allowed; a null text has one blank line."""
     ok = crawl.filter(F.col("content").isNotNull() & (F.length("content") > 0) & F.col("status_code").between(200, 299))
     raw = ok.select("request_id", site_of(F.coalesce("final_url", "url")).alias("site"), "content_type", "content")
-    pages = cut_lineage(raw.mapInArrow(_parse_pages, "request_id string, site string, keys array<long>, links array<boolean>, hs array<long>, ms array<long>, ts array<long>"))
+    pages = cut_lineage(raw.mapInArrow(_parse_pages, "request_id string, site string, keys array<long>, branches array<long>, lens array<int>, links array<boolean>, hs array<long>, ms array<long>, ts array<long>"))
     judged = cut_lineage(judged_pages(pages))
     templates = judged.select(F.explode(F.arrays_zip("ts", "keep")).alias("z")).groupBy(F.col("z.ts").alias("t")).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("z.keep").cast("double")).alias("share"))
     telling = templates.filter((F.col("n") >= SEEN) & ((F.col("share") <= 1 - SURE) | (F.col("share") >= SURE))).select("t", (F.col("share") >= SURE).alias("keep"))
