@@ -38,7 +38,7 @@ def _ends(hist: DataFrame, keys: list[str], level: Column, quota: str) -> DataFr
     return c.filter((F.col("_before") <= F.col(quota)) & (F.col("_cum") > F.col(quota)))
 
 
-def over_quota(rows: DataFrame, quotas: DataFrame, keys: list[str], quality: str, id_: str, small: bool) -> DataFrame:
+def over_quota(rows: DataFrame, quotas: DataFrame, keys: list[str], quality: str, id_: str, small: bool, keep_keys: bool = False) -> DataFrame:
     """Rows beyond their key's quota in the order quality descending (null and NaN last), id ascending.
 
     ``quotas``: keys and ``_quota``, only of keys that hold more rows than their quota. ``small``: the number of such
@@ -54,19 +54,20 @@ def over_quota(rows: DataFrame, quotas: DataFrame, keys: list[str], quality: str
     hist = r.groupBy(*keys, "_b", "_quota").agg(F.count(F.lit(1)).alias("_n"))
     end1 = _ends(hist, keys, F.col("_b"), "_quota").select(*keys, F.col("_b").alias("_eb"), (F.col("_quota") - F.col("_before")).alias("_left"))
     r = r.join(hint(end1), keys)
-    beyond = r.filter(F.col("_b") > F.col("_eb")).select("_id")
+    out = [*keys, "_id"] if keep_keys else ["_id"]
+    beyond = r.filter(F.col("_b") > F.col("_eb")).select(*out)
     edge = r.filter(F.col("_b") == F.col("_eb")).select(*keys, "_id", F.coalesce("_q", F.lit(float("inf"))).alias("_q"), "_left")
     hist2 = edge.groupBy(*keys, "_q", "_left").agg(F.count(F.lit(1)).alias("_n"))
     end2 = _ends(hist2, keys, F.col("_q"), "_left").select(*keys, F.col("_q").alias("_eq"), (F.col("_left") - F.col("_before")).alias("_left2"))
     edge = edge.join(hint(end2), keys)
-    beyond = beyond.unionByName(edge.filter(F.col("_q") > F.col("_eq")).select("_id"))
+    beyond = beyond.unionByName(edge.filter(F.col("_q") > F.col("_eq")).select(*out))
     tie = edge.filter(F.col("_q") == F.col("_eq")).select(*keys, "_id", "_left2", F.floor(F.col("_id") / ID_BLOCK).alias("_blk"))
     hist3 = tie.groupBy(*keys, "_blk", "_left2").agg(F.count(F.lit(1)).alias("_n"))
     end3 = _ends(hist3, keys, F.col("_blk"), "_left2").select(*keys, F.col("_blk").alias("_eblk"), (F.col("_left2") - F.col("_before")).alias("_left3"))
     tie = tie.join(hint(end3), keys)
-    beyond = beyond.unionByName(tie.filter(F.col("_blk") > F.col("_eblk")).select("_id"))
+    beyond = beyond.unionByName(tie.filter(F.col("_blk") > F.col("_eblk")).select(*out))
     last = tie.filter(F.col("_blk") == F.col("_eblk")).withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("_id")))
-    return beyond.unionByName(last.filter(F.col("_rn") > F.col("_left3")).select("_id")).withColumnRenamed("_id", id_)
+    return beyond.unionByName(last.filter(F.col("_rn") > F.col("_left3")).select(*out)).withColumnRenamed("_id", id_)
 
 
 def stratum_quotas(counts: DataFrame, contributor: str, stratum: str, cap: int) -> DataFrame:
