@@ -63,14 +63,22 @@ def fit_budget(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     return take
 
 
-def _solve(key, pdf: pd.DataFrame) -> pd.DataFrame:
+#: Shortfall, as a part of the budget, from which documents may be repeated unevenly, up to their limit.
+UNEVEN = 0.001
+
+
+def _solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("n_tokens")
     lengths, counts = [int(x) for x in pdf.n_tokens], [int(x) for x in pdf.n]
     whole = sum(n * c for n, c in zip(lengths, counts, strict=True))
     budget, repeats = int(pdf.budget.iloc[0]), int(pdf.max_repeats.iloc[0])
     passes = min(repeats, budget // whole) if whole else 0
     more = fit_budget(lengths, counts, budget - passes * whole) if passes < repeats else [0] * len(lengths)
-    return pd.DataFrame({"plan_id": key[0], "source": key[1], "n_tokens": lengths, "passes": passes, "more": more})
+    spent = passes * whole + sum(n * m for n, m in zip(lengths, more, strict=True))
+    if budget - spent > UNEVEN * budget and repeats - passes > 1:
+        more = max(more, fit_budget(lengths, [c * (repeats - passes) for c in counts], budget - passes * whole), key=lambda x: sum(n * m for n, m in zip(lengths, x, strict=True)))
+    each = [m // c for m, c in zip(more, counts, strict=True)]
+    return pd.DataFrame({"plan_id": key[0], "source": key[1], "n_tokens": lengths, "passes": [passes + e for e in each], "more": [m - e * c for m, e, c in zip(more, each, counts, strict=True)]})
 
 
 def draw(docs: DataFrame, targets: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
