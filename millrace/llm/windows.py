@@ -1,11 +1,11 @@
 """Sets of 8-character windows: hashes, sampled tokens, candidate pairs by rare-token prefixes, exact verification.
 
 Two texts are similar by the Jaccard index of their sets of distinct 8-character windows of the canonical text.
-Candidates come from tokens: 16-character windows whose hash falls in a fraction of the hash range that halves with each
+Candidates come from tokens: 24-character windows whose hash falls in a fraction of the hash range that halves with each
 doubling of length, so that every text has about TOKENS tokens and a longer text's tokens are also tokens of a shorter
 one at the coarser rate (each text is therefore also listed one level coarser where a partner may be). Texts up to
-SHORT characters use all their 8-character windows. An edit breaks more long windows than short ones, hence the lower
-token threshold TAU; what passes is verified exactly on all windows.
+SHORT characters use all their 8-character windows. Long windows seldom occur by chance, which keeps
+index lists short as the collection grows; an edit breaks more of them, hence the lower token threshold TAU; what passes is verified exactly on all windows.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def tokens(canon: str) -> tuple[list[int], list[int], list[int]]:
     own: list[int] = []
     coarse: list[int] = []
     if n > SHORT * LENGTHS:
-        w = _mix(h[:-WIDTH] * np.uint64(3) + (h[WIDTH:] << np.uint64(1)))
+        w = _mix(h[: -2 * WIDTH] * np.uint64(3) + (h[WIDTH:-WIDTH] << np.uint64(1)) + (h[2 * WIDTH :] << np.uint64(2)))
         level = max(0, int(np.floor(np.log2(n / TOKENS))))
         salted = lambda k: _mix(w[(w & np.uint64((1 << k) - 1)) == 0] + np.uint64(k + 2))
         own = as_long(salted(level))
