@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 8
-TOKENS = 16
+TOKENS = 24
 SHORT = 140
 #: Lengths of similar texts differ at most by this factor: 0.7 with room for repeated windows.
 LENGTHS = 0.62
-TAU = 0.25
+TAU = 0.18
 #: Postings of one token in one block of a list; longer lists are split into salted blocks.
 LIST_BLOCK = 2000
 
