@@ -20,7 +20,7 @@ from millrace.plans import checked_broadcast
 from millrace.session import cut_lineage
 from millrace.sources import table
 
-from .windows import candidates, canonical, postings, sign, similarity, window_set
+from .windows import VIEWS, candidates, canonical, postings, sign, similarity, window_set
 
 MIN_CHARS = 300
 #: At least 0.7, as a fraction of integers so that the bound itself is exact.
@@ -99,7 +99,7 @@ def near_classes(docs: DataFrame, least: int = MIN_CHARS) -> tuple[DataFrame, Da
     docs: id (unique), text. Null and short texts belong to no class. No link between different texts is left out."""
     signed = cut_lineage(sign(docs, least))
     member = signed.select("id", "digest")
-    reps = signed.groupBy("digest").agg(F.min(F.struct("id", "chars", "own", "coarse", "short")).alias("r")).select("digest", "r.*")
+    reps = signed.groupBy("digest").agg(F.min(F.struct("id", "chars", *VIEWS)).alias("r")).select("digest", "r.*")
     reps = cut_lineage(reps)
     index = cut_lineage(postings(reps))
     pairs = candidates(index, index, F.col("a_id") < F.col("b_id"))
