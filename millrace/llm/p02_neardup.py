@@ -20,7 +20,7 @@ from millrace.plans import checked_broadcast
 from millrace.session import cut_lineage
 from millrace.sources import table
 
-from .windows import VIEWS, candidates, canonical, postings, sign, similarity, window_set
+from .windows import VIEWS, candidates, canonical, listed, postings, sign, similarity, window_set
 
 MIN_CHARS = 300
 #: At least 0.7, as a fraction of integers so that the bound itself is exact.
@@ -97,11 +97,11 @@ def near_classes(docs: DataFrame, least: int = MIN_CHARS) -> tuple[DataFrame, Da
     """Membership (id, rep) of exact copies of a canonical text, and similar pairs of representatives (a, b, inter, uni), a < b.
 
     docs: id (unique), text. Null and short texts belong to no class. No link between different texts is left out."""
-    signed = cut_lineage(sign(docs, least))
+    signed = cut_lineage(sign(docs.select("id", F.lit(0).cast("long").alias("seq"), "text"), least))
     member = signed.select("id", "digest")
-    reps = signed.groupBy("digest").agg(F.min(F.struct("id", "chars", *VIEWS)).alias("r")).select("digest", "r.*")
-    reps = cut_lineage(reps)
-    index = cut_lineage(postings(reps))
+    reps = cut_lineage(signed.groupBy("digest").agg(F.min("id").alias("id")))
+    copies = checked_broadcast(cut_lineage(signed.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest").filter("id != rep").select("id")))
+    index = cut_lineage(postings(listed(signed.join(copies, "id", "left_anti"))))
     pairs = candidates(index, index, F.col("a_id") < F.col("b_id"))
     return member.join(reps.select("digest", F.col("id").alias("rep")), "digest").select("id", "rep"), verified(pairs, docs.select("id", "text"))
 

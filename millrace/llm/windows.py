@@ -1,13 +1,12 @@
 """Sets of 8-character windows: hashes, sampled tokens, candidate pairs by rare-token prefixes, exact verification.
 
 Two texts are similar by the Jaccard index of their sets of distinct 8-character windows of the canonical text.
-Candidates come from tokens: longer windows whose hash falls in a fraction of the hash range that halves with each
-doubling of length, so that every text has TOKENS to 2 TOKENS of them and a longer text's tokens are also tokens of a
-shorter one at the coarser rate (each text is therefore also listed one level coarser where a partner may be). Long
-windows seldom occur by chance, which keeps index lists short as the collection grows, but one edit breaks more of
-them, and few tokens make a noisy estimate: texts up to MIDDLE characters use 12-character windows, longer ones 24, and
-texts up to SHORT all of their 8-character windows, each with a threshold TAUS well below what similar texts share. A
-pair meets in the view of its longer text. What passes is verified exactly on all windows.
+Candidates come from tokens: of the longer windows of a text those with the smallest hashes, a fixed number, so that
+texts of all lengths are listed alike and two similar texts keep similar tokens. Long windows seldom occur by chance,
+which keeps index lists short as the collection grows, but one edit breaks more of them: texts up to MIDDLE characters
+use 12-character windows, longer ones 24, and texts up to SHORT their 8-character windows. A pair meets in the view of
+its longer text and must share a part of its tokens (NEED) that lies well below what similar texts share. What passes is
+verified exactly on all windows.
 """
 
 from __future__ import annotations
@@ -20,14 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 8
-TOKENS = 24
 SHORT = 140
+MIDDLE = 640
 #: Lengths of similar texts differ at most by this factor: 0.7 with room for repeated windows.
 LENGTHS = 0.62
-MIDDLE = 640
-#: Views: 24-character windows at a text's own level and one coarser, all 8-character windows, 12-character windows at two levels.
-VIEWS = ("own", "coarse", "tiny", "own12", "coarse12")
-TAUS = (0.18, 0.18, 0.5, 0.3, 0.3)
+#: Views by window length 24, 12 and 8; tokens of a text in each; the shared part of the tokens that a pair needs; and the
+#: part of the tokens, the most frequent ones, that is left out of the lists (less than NEED, so that a pair still meets).
+VIEWS = ("w24", "w12", "w8")
+TOKENS = (32, 16, 16)
+NEED = (0.29, 0.38, 0.38)
+TAIL = (0.18, 0.2, 0.2)
 #: Postings of one token in one block of a list; longer lists are split into salted blocks.
 LIST_BLOCK = 2000
 
@@ -69,61 +70,64 @@ def tokens(canon: str) -> tuple[list[int], ...]:
     """Tokens of a text for each of VIEWS."""
     h = window_hashes(canon)
     n = len(canon)
-    as_long = lambda x: np.unique(x).view(np.int64).tolist()
-    level = max(0, int(np.floor(np.log2(n / TOKENS)))) if n else 0
-    partner = n >= LENGTHS * TOKENS * 2 ** (level + 1)
 
-    def levels(w: np.ndarray, kind: int) -> tuple[list[int], list[int]]:
-        pick = lambda k: as_long(_mix(w[(w & np.uint64((1 << k) - 1)) == 0] + np.uint64(64 * kind + k)))
-        return pick(level), pick(level + 1) if partner else []
+    def least(w: np.ndarray, view: int) -> list[int]:
+        w = np.unique(_mix(w + np.uint64(view)))
+        return w[: TOKENS[view]].view(np.int64).tolist()
 
-    own, coarse = levels(_mix(h[: -2 * WIDTH] * np.uint64(3) + (h[WIDTH:-WIDTH] << np.uint64(1)) + (h[2 * WIDTH :] << np.uint64(2))), 1) if n > MIDDLE * LENGTHS else ([], [])
-    own12, coarse12 = levels(_mix(h[:-4] * np.uint64(3) + (h[4:] << np.uint64(1))), 2) if SHORT * LENGTHS < n <= MIDDLE else ([], [])
-    return own, coarse, as_long(_mix(h + np.uint64(1))) if n <= SHORT else [], own12, coarse12
+    w24 = least(h[: -2 * WIDTH] * np.uint64(3) + (h[WIDTH:-WIDTH] << np.uint64(1)) + (h[2 * WIDTH :] << np.uint64(2)), 0) if n > MIDDLE * LENGTHS else []
+    w12 = least(h[:-4] * np.uint64(3) + (h[4:] << np.uint64(1)), 1) if SHORT * LENGTHS < n <= MIDDLE else []
+    return w24, w12, least(h, 2) if n <= SHORT else []
 
 
-SIGNED = "id long, digest binary, chars int, " + ", ".join(f"{v} array<long>" for v in VIEWS)
+SIGNED = "id long, seq long, digest binary, chars int, " + ", ".join(f"{v} array<long>" for v in VIEWS)
 
 
 def _sign(least: int):
     def run(batches):
         for b in batches:
-            ids, rows = [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            ids, seqs, rows = [], [], []
+            for i, q, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 c = canonical(text)
                 if len(c) >= least:
                     ids.append(i)
+                    seqs.append(q)
                     rows.append((hashlib.md5(c.encode("utf-8", "surrogatepass")).digest(), len(c), *tokens(c)))
             cols = list(zip(*rows, strict=True)) if rows else [()] * (2 + len(VIEWS))
             lst = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int32()), *(pa.array(c, lst) for c in cols[2:])], ["id", "digest", "chars", *VIEWS])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(seqs, pa.int64()), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int32()), *(pa.array(c, lst) for c in cols[2:])], ["id", "seq", "digest", "chars", *VIEWS])
 
     return run
 
 
 def sign(docs: DataFrame, least: int = 1) -> DataFrame:
-    """docs (id, text) with canonical texts of at least ``least`` characters -> SIGNED; one pass, no shuffle."""
-    return docs.select("id", "text").mapInArrow(_sign(least), SIGNED)
+    """docs (id, seq, text) with canonical texts of at least ``least`` characters -> SIGNED; one pass, no shuffle."""
+    return docs.select("id", "seq", "text").mapInArrow(_sign(least), SIGNED)
+
+
+def listed(signed: DataFrame) -> DataFrame:
+    """(token, id, view, info): one row for each token; ``info`` packs seq, length and number of tokens into one long each."""
+    views = F.array(*[F.struct(F.lit(v).cast("byte").alias("view"), F.col(c).alias("toks")) for v, c in enumerate(VIEWS)])
+    flat = signed.select("id", "seq", "chars", F.explode(views).alias("v"))
+    return flat.select("id", "seq", (F.shiftleft(F.col("chars").cast("long"), 16) + F.shiftleft(F.size("v.toks").cast("long"), 4) + F.col("v.view").cast("long")).alias("info"), F.explode("v.toks").alias("token"))
 
 
-def postings(signed: DataFrame, *keep: str) -> DataFrame:
-    """Rare-token prefixes as an inverted index: (token, id, view, chars, m, pos, df, keep...).
+def postings(flat: DataFrame) -> DataFrame:
+    """Rare-token prefixes as an inverted index: (token, df, id, seq, view, chars, m, pos) from ``listed`` rows.
 
     Tokens of one text are ordered by document frequency. Tokens of a single text lead the order but meet no one, so they
-    only count as positions. A pair of the view's token similarity shares a token of both prefixes; positions past the point where
-    too few tokens remain are blocks that no probe needs, and are left out of the lists."""
-    views = F.array(*[F.struct(F.lit(v).cast("byte").alias("view"), F.col(c).alias("toks")) for v, c in enumerate(VIEWS)])
-    flat = signed.select("id", "chars", *keep, F.explode(views).alias("v")).select("id", "chars", *keep, "v.view", F.size("v.toks").alias("m"), F.explode("v.toks").alias("token"))
+    only count as positions. The most frequent TAIL of a text's tokens is not listed: a pair that shares NEED of its tokens
+    still shares listed ones. Positions past which too few tokens remain are skipped when lists meet."""
     df = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    per = flat.join(df, "token").groupBy("id", "view").agg(F.first("chars").alias("chars"), *[F.first(k).alias(k) for k in keep], F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("l"))
+    per = flat.join(df, "token").groupBy("id", "seq", "info").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("l"))
+    per = per.select("id", "seq", F.col("info").bitwiseAND(15).cast("int").alias("view"), F.shiftright("info", 4).bitwiseAND(4095).cast("int").alias("m"), F.shiftright("info", 16).cast("int").alias("chars"), "l")
     lone = F.col("m") - F.size("l")
-    prefix = F.col("m") - F.ceil(_tau("view") * F.col("m")).cast("int") + 1
-    per = per.withColumn("lone", lone).withColumn("l", F.slice("l", 1, F.greatest(F.lit(0), F.least(F.size("l"), prefix - lone))))
-    return per.select("id", "view", "chars", *keep, "m", "lone", F.posexplode("l").alias("at", "t")).select(F.col("t.token").alias("token"), F.col("t.df").alias("df"), "id", "view", "chars", *keep, "m", (F.col("lone") + F.col("at")).alias("pos"))
+    per = per.withColumn("lone", lone).withColumn("l", F.slice("l", 1, F.greatest(F.lit(0), F.least(F.size("l"), F.col("m") - F.floor(_of(TAIL, "view") * F.col("m")).cast("int") - lone))))
+    return per.select("id", "seq", "view", "chars", "m", "lone", F.posexplode("l").alias("at", "t")).select(F.col("t.token").alias("token"), F.col("t.df").alias("df"), "id", "seq", "view", "chars", "m", (F.col("lone") + F.col("at")).alias("pos"))
 
 
-def _tau(view: str) -> Column:
-    return F.element_at(F.array(*[F.lit(t) for t in TAUS]), F.col(view) + 1)
+def _of(values: tuple, view: str) -> Column:
+    return F.element_at(F.array(*[F.lit(t) for t in values]), F.col(view) + 1)
 
 
 def _size_block(chars: Column) -> Column:
@@ -141,14 +145,11 @@ def candidates(index: DataFrame, probe: DataFrame, order: Column) -> DataFrame:
     a = index.select(*[F.col(c).alias(f"a_{c}") for c in index.columns], F.col("token"), _size_block(F.col("chars")).alias("block"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
     b = probe.select(*[F.col(c).alias(f"b_{c}") for c in probe.columns], F.col("token"), F.explode(F.array(*[_size_block(F.col("chars")) + k for k in (-1, 0, 1)])).alias("block"), parts.alias("parts"))
     b = b.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    tau = _tau("a_view")
-    need = F.ceil(tau / (1 + tau) * (F.col("a_m") + F.col("b_m")))
+    need = F.floor(_of(NEED, "a_view") * F.least("a_m", "b_m"))
     fits = (F.least("a_chars", "b_chars") >= LENGTHS * F.greatest("a_chars", "b_chars")) & (F.least(F.col("a_m") - F.col("a_pos"), F.col("b_m") - F.col("b_pos")) >= need)
-    # the view of the longer text; of two coarse listings one of the texts' own level says the same
     longer = F.greatest("a_chars", "b_chars")
-    kind = F.when(longer <= SHORT, F.col("a_view") == 2).when(longer <= MIDDLE, F.col("a_view") >= 3).otherwise(F.col("a_view") <= 1)
-    both_coarse = F.col("a_view").isin(1, 4) & F.col("b_view").isin(1, 4)
-    j = a.join(b, ["token", "block", "part"]).filter(order & fits & kind & ~both_coarse)
-    hits = j.groupBy(F.col("a_id").alias("a"), F.col("b_id").alias("b")).agg(F.count(F.lit(1)).alias("hits"), F.first("a_m").alias("ma"), F.first("b_m").alias("mb"), F.first("a_view").alias("view"))
-    # of the needed overlap so much must lie within the prefixes
-    return hits.filter(F.col("hits") >= F.greatest(F.lit(1), F.floor(_tau("view") / (1 + _tau("view")) * (F.col("ma") + F.col("mb")) - _tau("view") * F.least("ma", "mb")).cast("int"))).select("a", "b")
+    kind = F.when(longer <= SHORT, 2).when(longer <= MIDDLE, 1).otherwise(0)  # the view of the longer text
+    j = a.join(b, ["token", "block", "part"]).filter(order & fits & (F.col("a_view") == kind))
+    hits = j.groupBy(F.col("a_id").alias("a"), F.col("b_id").alias("b")).agg(F.count(F.lit(1)).alias("hits"), F.min(F.least("a_m", "b_m")).alias("m"), F.min("a_view").alias("view"))
+    # of the needed overlap so much must lie within the listed tokens
+    return hits.filter(F.col("hits") >= F.greatest(F.lit(1), F.floor(_of(NEED, "view") * F.col("m")) - F.floor(_of(TAIL, "view") * F.col("m")))).select("a", "b")
