@@ -4,7 +4,7 @@ Two texts are similar by the Jaccard index of their sets of distinct 8-character
 Candidates come from tokens: of the longer windows of a text those with the smallest hashes, a fixed number, so that
 texts of all lengths are listed alike and two similar texts keep similar tokens. Long windows seldom occur by chance,
 which keeps index lists short as the collection grows, but one edit breaks more of them: texts up to MIDDLE characters
-use 12-character windows, longer ones 24, and texts up to SHORT their 8-character windows. A pair meets in the view of
+use 20-character windows, longer ones 24, and texts up to SHORT their 8-character windows. A pair meets in the view of
 its longer text and must share a part of its tokens (NEED) that lies well below what similar texts share. What passes is
 verified exactly on all windows.
 """
@@ -23,12 +23,12 @@ SHORT = 140
 MIDDLE = 640
 #: Lengths of similar texts differ at most by this factor: 0.7 with room for repeated windows.
 LENGTHS = 0.62
-#: Views by window length 24, 12 and 8; tokens of a text in each; the shared part of the tokens that a pair needs; and the
+#: Views by window length 24, 20 and 8; tokens of a text in each; the shared part of the tokens that a pair needs; and the
 #: part of the tokens, the most frequent ones, that is left out of the lists (less than NEED, so that a pair still meets).
-VIEWS = ("w24", "w12", "w8")
+VIEWS = ("w24", "w20", "w8")
 TOKENS = (32, 16, 16)
-NEED = (0.29, 0.38, 0.38)
-TAIL = (0.18, 0.2, 0.2)
+NEED = (0.29, 0.28, 0.38)
+TAIL = (0.18, 0.13, 0.2)
 #: Postings of one token in one block of a list; longer lists are split into salted blocks.
 LIST_BLOCK = 2000
 
@@ -76,8 +76,8 @@ def tokens(canon: str) -> tuple[list[int], ...]:
         return w[: TOKENS[view]].view(np.int64).tolist()
 
     w24 = least(h[: -2 * WIDTH] * np.uint64(3) + (h[WIDTH:-WIDTH] << np.uint64(1)) + (h[2 * WIDTH :] << np.uint64(2)), 0) if n > MIDDLE * LENGTHS else []
-    w12 = least(h[:-4] * np.uint64(3) + (h[4:] << np.uint64(1)), 1) if SHORT * LENGTHS < n <= MIDDLE else []
-    return w24, w12, least(h, 2) if n <= SHORT else []
+    w20 = least(h[:-12] * np.uint64(3) + (h[6:-6] << np.uint64(1)) + (h[12:] << np.uint64(2)), 1) if SHORT * LENGTHS < n <= MIDDLE else []
+    return w24, w20, least(h, 2) if n <= SHORT else []
 
 
 SIGNED = "id long, seq long, digest binary, chars int, " + ", ".join(f"{v} array<long>" for v in VIEWS)
