@@ -105,8 +105,8 @@ QUERIES = {f.__name__: f for f in (text_reading_metrics, text_lexical_metrics, t
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _T = r"""
 with t as (select doc_id, text, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda x: length(x) > 1) as w,
-  list_filter(list_transform(string_split_regex(text, '[.!?]+'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') as s,
-  list_filter(string_split(text, chr(10) || chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g')) <> '') as p from documents),
+  list_filter(list_transform(string_split_regex(text, '[.!?]+'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'), ' ')), lambda x: x <> '') as s,
+  list_filter(string_split(text, chr(10) || chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'), ' ') <> '') as p from documents),
 c as (select doc_id, list_filter(w, lambda x: x not in (""" + _STOP + r""")) as c from t)
 """
 _SYL = "greatest(1, len(regexp_extract_all(x, '[aeiouy]+')) - case when x like '%e' then 1 else 0 end)"

@@ -143,17 +143,17 @@ QUERIES = {f.__name__: f for f in (select_filters, sample_balanced, sample_quota
 def _oracle() -> dict:
     from millrace.operators.quality import ORACLE as Q
 
-    score = Q["quality_overall"].split("select doc_id, overall, case")[0] + ", b as (select doc_id, coalesce(d.domain_type, 'general') as domain, coalesce(d.text, '') as text, lower(lang) as lang, len(list_filter(string_split_regex(coalesce(d.text, ''), '\\s+'), lambda x: x <> '')) as words, overall as score from documents d join (select doc_id, overall from o) using (doc_id)), s as (select * from b where score >= 0.3 and words between 50 and 50000 and lang = 'en') "
+    score = Q["quality_overall"].split("select doc_id, overall, case")[0] + ", bb as (select doc_id, coalesce(d.domain_type, 'general') as domain, coalesce(d.text, '') as text, lower(lang) as lang, len(list_filter(string_split_regex(coalesce(d.text, ''), '\\s+'), lambda x: x <> '')) as words, overall as score from documents d join (select doc_id, overall from o) using (doc_id)), s as (select * from bb where score >= 0.3 and words between 50 and 50000 and lang = 'en') "
     toks = "list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')"
     return {
         "select_filters": score + "select doc_id, domain, cast(words as bigint) as words, score from s",
         "sample_balanced": "select doc_id, domain from (select doc_id, coalesce(domain_type, 'general') as domain, row_number() over (partition by coalesce(domain_type, 'general') order by md5('17:' || doc_id), doc_id) rn from documents) where rn <= 20",
-        "sample_quota": score + "select doc_id, domain, score from (select *, row_number() over (partition by domain order by md5('17:' || doc_id), doc_id) rn from b) where rn <= 200 // (select count(distinct domain) from b)",
+        "sample_quota": score + "select doc_id, domain, score from (select *, row_number() over (partition by domain order by md5('17:' || doc_id), doc_id) rn from bb) where rn <= 200 // (select count(distinct domain) from bb)",
         "chunks": f"with w as (select doc_id, {toks} as w from documents), c as (select doc_id, w, unnest(case when len(w) = 0 then [] when len(w) <= 128 then [0] else range(0, len(w), 112) end) as i from w) select doc_id, i // 112 as chunk, cast(len(w[i + 1:i + 128]) as bigint) as n_tokens, md5(array_to_string(w[i + 1:i + 128], ' ')) as text_md5 from c",
         "format_instruction": "select doc_id, 'Summarize the following content:' as instruction, md5('### Instruction:' || chr(10) || 'Summarize the following content:' || chr(10) || chr(10) || '### Response:' || chr(10) || text) as text_md5 from documents",
-        "format_conversation": "select doc_id, 'Can you tell me about: ' || trim(split_part(text, chr(10), 1)) as question, md5(text) as answer_md5 from documents",
+        "format_conversation": "select doc_id, 'Can you tell me about: ' || trim(split_part(text, chr(10), 1), ' ') as question, md5(text) as answer_md5 from documents",
         "dataset_analytics": score + f"select count(*) as records, round(avg(words), 6) as mean, round(stddev_pop(words), 6) as std, cast(min(words) as bigint) as min, cast(max(words) as bigint) as max, round(quantile_cont(words, 0.25), 6) as p25, round(quantile_cont(words, 0.5), 6) as p50, round(quantile_cont(words, 0.75), 6) as p75, round(avg(score), 6) as score_mean, round(stddev_pop(score), 6) as score_std, (select count(distinct t) from (select unnest({toks}) as t from s)) as vocabulary from s",
-        "domain_distribution": score + "select domain, count(*) as docs, cast(sum(words) as bigint) as words, round(avg(score), 5) as mean_score from b group by rollup(domain)",
+        "domain_distribution": score + "select domain, count(*) as docs, cast(sum(words) as bigint) as words, round(avg(score), 5) as mean_score from bb group by rollup(domain)",
     }
 
 

@@ -134,9 +134,9 @@ def _sql() -> str:
     return (
         lang.rstrip() + ", " + _T.strip()[len("with "):].rsplit("),\nc as", 1)[0] + ")"
         + rf""", q as (select doc_id, text, domain_type, detected, w, s, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') as r, coalesce(list_sum(list_transform(w, lambda x: {_SYL})), 0) as syl,
- list_filter(list_transform(string_split(text, '.'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') as g from documents join t using (doc_id, text) join d using (doc_id)),
+ list_filter(list_transform(string_split(text, '.'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'), ' ')), lambda x: x <> '') as g from documents join t using (doc_id, text) join d using (doc_id)),
 m as (select *, len(r) as n, len(s) as ns, len(w) as nw from q),
-p as (select doc_id, domain_type, text, detected, n, case when length(text) > 400 then 1.0::double else 0 end as length, case when trim(text) <> '' and detected = 'en' then 1.0::double else 0 end as language,
+p as (select doc_id, domain_type, text, detected, n, case when length(text) > 400 then 1.0::double else 0 end as length, case when trim(text, ' ') <> '' and detected = 'en' then 1.0::double else 0 end as language,
  case when n < 10 then 0 else case when nw > 0 and ns > 0 then greatest(0, least(100, 206.835::double - 1.015::double * nw / ns - 84.6::double * syl / nw)) else 0 end / 100 * 0.5::double + len(list_distinct(r)) / n * 0.3::double + (1 - least(abs(case when ns > 0 then n / ns else 0 end - 20) / 20, 1)) * 0.2::double end as lexical,
  case when n < 10 then 0 else greatest(0, least(1, 1.0::double - 0.05::double * coalesce(list_sum(list_transform(g, lambda x: case when regexp_matches(x, '^\p{{Lu}}') then 0 else 1 end + case when len(string_split(x, ' ')) between 3 and 50 then 0 else 1 end)), 0) - case when contains(text, '  ') then 0.1::double else 0 end - case when regexp_matches(text, '[,.!?][a-zA-Z]') then 0.1::double else 0 end - case when regexp_matches(text, '[.!?]{{2,}}') then 0.05::double else 0 end)) end as grammar,
  (least(({spam}) / 5.0::double, 1) + least(length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) / greatest(length(text), 1) / 0.3::double, 1) + least(len(regexp_extract_all(text, '!')) / (len(regexp_extract_all(text, '\.')) + 1) / 0.1::double, 1)) / 3 as spam,
