@@ -44,11 +44,23 @@ def mark_exact(docs: DataFrame, key: Column, order: str) -> DataFrame:
     return keyed.join(first, "_k").withColumn("is_duplicate", F.col(order) > F.col("_first")).drop("_k", "_first")
 
 
+def _shingle_hashes(texts: pd.Series) -> pd.Series:
+    mul = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & 0xFFFFFFFFFFFFFFFF for k in range(SHINGLE)], dtype=np.uint64)
+    out = []
+    for raw in texts:
+        raw = raw or ""
+        t = " ".join(raw.lower().split()) if len(raw) >= SHINGLE else raw.ljust(SHINGLE, "\0")
+        cp = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        n = len(cp) - SHINGLE + 1
+        h = sum((cp[k : k + n] * mul[k] for k in range(1, SHINGLE)), cp[:n] * mul[0]) if n > 0 else np.zeros(0, np.uint64)
+        out.append(np.unique((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64))
+    return pd.Series(out)
+
+
 def shingles(text: Column) -> Column:
-    """Distinct 7-character windows of lower-case collapsed text; a text shorter than that is its own shingle."""
-    t = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
-    n = F.length(t)
-    return F.when(F.length(text) < SHINGLE, F.array(text)).when(n < SHINGLE, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), n - SHINGLE + 1), lambda i: F.substring(t, i, SHINGLE))))
+    """Hashes of the distinct 7-character windows of lower-case collapsed text; a raw text shorter than that is its own shingle, and
+    one that only collapsing makes shorter has none. Arrow batches: in an SQL lambda each window would walk the text again."""
+    return F.pandas_udf(_shingle_hashes, T.ArrayType(T.LongType()))(text)
 
 
 def tokens(text: Column) -> Column:
