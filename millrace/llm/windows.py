@@ -105,9 +105,15 @@ def sign(docs: DataFrame, least: int = 1) -> DataFrame:
     return docs.select("id", "seq", "text").mapInArrow(_sign(least), SIGNED)
 
 
-def listed(signed: DataFrame) -> DataFrame:
-    """(token, id, view, info): one row for each token; ``info`` packs seq, length and number of tokens into one long each."""
-    views = F.array(*[F.struct(F.lit(v).cast("byte").alias("view"), F.col(c).alias("toks")) for v, c in enumerate(VIEWS)])
+#: The view number of the token that stands for the whole text.
+WHOLE = 9
+
+
+def listed(signed: DataFrame, whole: bool = False) -> DataFrame:
+    """(id, seq, info, token): one row for each token; ``info`` packs length, number of tokens and view into one long. With
+    ``whole`` one more row for each text, of view WHOLE, whose token is a hash of the text's digest."""
+    views = [F.struct(F.lit(v).cast("byte").alias("view"), F.col(c).alias("toks")) for v, c in enumerate(VIEWS)]
+    views = F.array(*views, *([F.struct(F.lit(WHOLE).cast("byte").alias("view"), F.array(F.xxhash64("digest")).alias("toks"))] if whole else []))
     flat = signed.select("id", "seq", "chars", F.explode(views).alias("v"))
     return flat.select("id", "seq", (F.shiftleft(F.col("chars").cast("long"), 16) + F.shiftleft(F.size("v.toks").cast("long"), 4) + F.col("v.view").cast("long")).alias("info"), F.explode("v.toks").alias("token"))
 
