@@ -156,7 +156,7 @@ _has = lambda t, v: "(" + " or ".join(f"contains({t}, '{_q(x)}')" for x in v) +
 _first = lambda g, dflt: "case " + " ".join(f"when {_has('lower(text)', v)} then '{k}'" for k, v in g.items()) + f" else '{dflt}' end"
 _ab = reduce(lambda c, kv: f"regexp_replace({c}, '\\b{kv[0]}\\b', '{kv[0]} ({kv[1]})', 'g')", ABBREVIATIONS.items(), "text")
 _kw = "list_max([" + ", ".join(f"struct_pack(s := ({' + '.join(f'contains(l, {w!r})::int' for w in ws.split())}) / {len(ws.split())} * least(1.0::double, n / 1000), r := {-i}, k := '{k}')" for i, (k, ws) in enumerate(KEYWORDS.items())) + "])"
-ORACLE = {f"entities_{k}": "select doc_id, " + ", ".join(f"cast(len(list_distinct({' || '.join(f'''regexp_extract_all(text, '(?i){_q(p)}')''' for p in ps)})) as bigint) as {c}" for c, ps in v.items()) + r" from (select doc_id, regexp_replace(text, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Cyrillic}\p{Arabic}\p{Devanagari}À-ÿ]', 'x', 'g') as text from documents)" for k, v in ENTITIES.items()} | {
+ORACLE = {f"entities_{k}": "select doc_id, " + ", ".join(f"cast(len(list_distinct({' || '.join(f'''regexp_extract_all(text, '(?i){_q(p)}')''' for p in ps)})) as bigint) as {c}" for c, ps in v.items()) + r" from (select doc_id, regexp_replace(text, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Cyrillic}\p{Arabic}\p{Devanagari}À-ÿ]', '_', 'g') as text from documents)" for k, v in ENTITIES.items()} | {
     "pii_scan": "select doc_id, " + ", ".join(f"cast(len(regexp_extract_all(text, '{p}')) as bigint) as {k}" for k, p in PII.items()) + " from documents",
     "abbreviations_expanded": f"select doc_id, sha256({_ab}) as text_sha from documents",
     "domain_guess": rf"select doc_id, case when m.s >= 0.3 then m.k else 'general' end as domain from (select doc_id, {_kw} as m from (select doc_id, lower(text) as l, len(list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '')) as n from documents))",
