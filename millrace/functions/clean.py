@@ -83,7 +83,7 @@ _BP = [rf"(?:^|\b)(?:{p})\b[^\n]*(?:\n|$)".replace(r"(?:^|\b)", r"\b") for p in
 _LINES = "list_transform(string_split({}, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g')))"
 ORACLE = {
     "clean_boilerplate": "select extract_id, regexp_replace(regexp_replace(array_to_string(" + _LINES.format(_chain("text", _BP, "", "gi")) + r", chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') as clean from extracted_content",
-    "structured_text": "with l as (select doc_id, text, list_transform(string_split(text, chr(10)), lambda x: trim(x)) as l from documents) select doc_id, " + ", ".join(f"cast(len(list_filter(l, lambda x: regexp_matches(x, '{p}'))) as bigint) as {n}" for p, n in ((HEADER, "headers"), (LIST_ITEM, "list_items"), (NUMBERED, "numbered"), (QUOTE, "quotes"))) + ", cast(len(list_filter(string_split(text, chr(10) || chr(10)), lambda x: length(trim(x)) > 20)) as bigint) as paragraphs from l",
+    "structured_text": "with l as (select doc_id, text, list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')) as l from documents) select doc_id, " + ", ".join(f"cast(len(list_filter(l, lambda x: regexp_matches(x, '{p}'))) as bigint) as {n}" for p, n in ((HEADER, "headers"), (LIST_ITEM, "list_items"), (NUMBERED, "numbered"), (QUOTE, "quotes"))) + ", cast(len(list_filter(string_split(text, chr(10) || chr(10)), lambda x: length(trim(x, ' ')) > 20)) as bigint) as paragraphs from l",
     "sanitize_text": "select extract_id, sha256(" + _chain("text", THREATS, "[BLOCKED]", "gis") + ") as text_sha, n as threats, round(greatest(0, 1 - 0.1::double * n), 6) as confidence from (select *, cast(" + " + ".join(f"regexp_matches(text, '{p}', 'is')::int" for p in THREATS) + " as bigint) as n from extracted_content)",
     "sanitize_string": r"select extract_id, replace(replace(replace(replace(replace(regexp_replace(substring(coalesce(title, ''), 1, 10000), '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '" + '"' + "', '&quot;'), chr(39), '&#x27;') as escaped from extracted_content",
     "slugs": "select extract_id, case when s = '' then 'untitled' when split_part(s, '.', 1) in (" + ", ".join(f"'{r}'" for r in RESERVED) + ") then '_' || s else s end as slug from (select extract_id, substring(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(title, '')), '[^a-z0-9._-]+', '-', 'g'), '-{2,}', '-', 'g'), '^[-.]+|[-.]+$', '', 'g'), 1, 255) as s from extracted_content)",
