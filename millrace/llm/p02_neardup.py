@@ -1,11 +1,11 @@
 """Problem 2: near-duplicate records with small edits.
 
-Set-relation skipping, distributed. Exact copies are one set. Index lists of rare-token prefixes are cut into blocks by
-length and position, whole blocks being skipped (``windows.candidates``). Candidate pairs are gathered around leaders
+Set-relation skipping, distributed. Exact copies are one set. Prefixes of the whole window sets, rare windows first, meet
+in an index that loses no similar pair (``windows.candidates``). Candidate pairs are gathered around leaders
 (the smallest record that one is linked to): a leader's set is intersected once with each member, and every further
 answer in the group is derived from the members' small differences to the leader, not from the sets themselves.
 
-Scale: only tokens and ids are shuffled to find candidates; texts travel once to each group they have candidates in.
+Scale: only packed prefixes are shuffled to find candidates; texts travel once to each group they have candidates in.
 Groups beyond GROUP records are split into blocks of record pairs, so no group is one task's work.
 """
 
@@ -20,11 +20,9 @@ from millrace.plans import checked_broadcast
 from millrace.session import cut_lineage
 from millrace.sources import table
 
-from .windows import VIEWS, candidates, canonical, listed, postings, sign, similarity, window_set
+from .windows import DEN, NUM, build_index, candidates, canonical, frequent_windows, index_parts, sign, similarity, window_set
 
 MIN_CHARS = 300
-#: At least 0.7, as a fraction of integers so that the bound itself is exact.
-NUM, DEN = 7, 10
 GROUP = 64
 
 
@@ -93,6 +91,13 @@ def verified(pairs: DataFrame, texts: DataFrame, num: int = NUM, den: int = DEN)
     return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "id").mapInArrow(_verify(num, den), "a long, b long, inter long, uni long")
 
 
+def similar_candidates(texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts (id, seq, text) among which is every similar one; b is of seq 0 or more."""
+    parts = index_parts(texts)
+    order = texts.sparkSession.sparkContext.broadcast(frequent_windows(texts))
+    return candidates(build_index(texts, order, parts), parts)
+
+
 def near_classes(docs: DataFrame, least: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
     """Membership (id, rep) of exact copies of a canonical text, and similar pairs of representatives (a, b, inter, uni), a < b.
 
@@ -100,9 +105,8 @@ def near_classes(docs: DataFrame, least: int = MIN_CHARS) -> tuple[DataFrame, Da
     signed = cut_lineage(sign(docs.select("id", F.lit(0).cast("long").alias("seq"), "text"), least))
     member = signed.select("id", "digest")
     reps = cut_lineage(signed.groupBy("digest").agg(F.min("id").alias("id")))
-    copies = checked_broadcast(cut_lineage(signed.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest").filter("id != rep").select("id")))
-    index = cut_lineage(postings(listed(signed.join(copies, "id", "left_anti"))))
-    pairs = candidates(index, index, F.col("a_id") < F.col("b_id"))
+    listed = docs.select("id", F.lit(0).cast("long").alias("seq"), "text").join(checked_broadcast(reps.select("id")), "id", "left_semi")
+    pairs = similar_candidates(listed)
     return member.join(reps.select("digest", F.col("id").alias("rep")), "digest").select("id", "rep"), verified(pairs, docs.select("id", "text"))
 
 

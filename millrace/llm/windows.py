@@ -1,12 +1,12 @@
-"""Sets of 8-character windows: hashes, sampled tokens, candidate pairs by rare-token prefixes, exact verification.
-
-Two texts are similar by the Jaccard index of their sets of distinct 8-character windows of the canonical text.
-Candidates come from tokens: of the longer windows of a text those with the smallest hashes, a fixed number, so that
-texts of all lengths are listed alike and two similar texts keep similar tokens. Long windows seldom occur by chance,
-which keeps index lists short as the collection grows, but one edit breaks more of them: texts up to MIDDLE characters
-use 20-character windows, longer ones 24, and texts up to SHORT their 8-character windows. A pair meets in the view of
-its longer text and must share a part of its tokens (NEED) that lies well below what similar texts share. What passes is
-verified exactly on all windows.
+"""Sets of 8-character windows: hashes, exact candidate pairs by rare-first prefixes of the whole sets, digests.
+
+Two texts are similar by the Jaccard index of their sets of distinct 8-character windows of the canonical text, at least
+NUM / DEN. Candidates lose no similar pair. All possible windows are dealt to parts by hash; a pair that reaches the
+threshold reaches it in at least one part (a ratio of sums is at most the largest ratio), so each part is joined by
+itself. In a part the windows of a text are put into one global order, and of two sets of n and m windows that share at
+least o = NUM (n + m) / (NUM + DEN) the first n - o + l and m - o + l share at least l, whatever the order is. The order is
+for speed only: windows met in several texts of a sample come last, the most frequent at the very end, the others by hash.
+Sizes are numbers of distinct windows, so repeated text counts once. What passes is verified on all windows.
 """
 
 from __future__ import annotations
@@ -15,22 +15,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 8
-SHORT = 140
-MIDDLE = 640
-#: Lengths of similar texts differ at most by this factor: 0.7 with room for repeated windows.
-LENGTHS = 0.62
-#: Views by window length 24, 20 and 8; tokens of a text in each; the shared part of the tokens that a pair needs; and the
-#: part of the tokens, the most frequent ones, that is left out of the lists (less than NEED, so that a pair still meets).
-VIEWS = ("w24", "w20", "w8")
-TOKENS = (32, 16, 16)
-NEED = (0.29, 0.28, 0.38)
-TAIL = (0.18, 0.13, 0.2)
-#: Postings of one token in one block of a list; longer lists are split into salted blocks.
-LIST_BLOCK = 2000
+#: The similarity two texts need, as a fraction of integers so that the bound itself is exact.
+NUM, DEN = 7, 10
+#: Texts sampled for the order of windows, and the sampled texts that a window is met in to count as frequent.
+SAMPLE = 2000
+FREQUENT = 3
+#: Listed windows of one part of the index, and meetings of them looked at together.
+PART = 4_000_000
+HELD = 3_000_000
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -66,96 +62,167 @@ def similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return i, len(a) + len(b) - i
 
 
-def tokens(canon: str) -> tuple[list[int], ...]:
-    """Tokens of a text for each of VIEWS."""
-    h = window_hashes(canon)
-    n = len(canon)
+def _shared(n):
+    """The number l of shared listed windows that a pair needs whose smaller set has n windows in the part."""
+    return np.maximum(1, n // 20)
 
-    def least(w: np.ndarray, view: int) -> list[int]:
-        w = np.unique(_mix(w + np.uint64(view)))
-        return w[: TOKENS[view]].view(np.int64).tolist()
 
-    w24 = least(h[: -2 * WIDTH] * np.uint64(3) + (h[WIDTH:-WIDTH] << np.uint64(1)) + (h[2 * WIDTH :] << np.uint64(2)), 0) if n > MIDDLE * LENGTHS else []
-    w20 = least(h[:-12] * np.uint64(3) + (h[6:-6] << np.uint64(1)) + (h[12:] << np.uint64(2)), 1) if SHORT * LENGTHS < n <= MIDDLE else []
-    return w24, w20, least(h, 2) if n <= SHORT else []
+def _listed(n):
+    """How many windows of a set of n are listed: enough for any similar set."""
+    return np.where(n > 0, n - -(-NUM * n // DEN) + _shared(n), 0)
 
 
-SIGNED = "id long, seq long, digest binary, chars int, " + ", ".join(f"{v} array<long>" for v in VIEWS)
+def frequent_windows(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Windows met in at least FREQUENT texts of a sample of about SAMPLE texts (id, text): sorted hashes, and the rank of each."""
+    k = max(1, texts.count() // SAMPLE)
+    rows = texts.filter(F.pmod(F.xxhash64("id"), F.lit(k)) == 0).select(F.substring("text", 1, 20_000).alias("text")).limit(2 * SAMPLE).collect()  # bounded
+    sets = [window_set(canonical(r.text)) for r in rows]
+    h, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    h, n = h[n >= FREQUENT], n[n >= FREQUENT]
+    rank = np.empty(len(h), np.int32)
+    rank[np.argsort(n, kind="stable")] = np.arange(len(h), dtype=np.int32)
+    return h, rank
+
+
+def prefixes(windows: np.ndarray, frequent: np.ndarray, rank: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a sorted set the listed windows by part and order, and for each part how many are listed and how many there are."""
+    part = (windows % np.uint64(parts)).astype(np.int64)
+    late = np.zeros(len(windows), np.int64)
+    if len(frequent) and len(windows):
+        at = np.minimum(np.searchsorted(frequent, windows), len(frequent) - 1)
+        late = np.where(frequent[at] == windows, rank[at].astype(np.int64) + 1, 0)
+    o = np.argsort((part << 32) + late, kind="stable")
+    n = np.bincount(part, minlength=parts)
+    k = _listed(n)
+    pos = np.arange(len(windows)) - np.repeat(np.cumsum(n) - n, n)
+    return windows[o][pos < np.repeat(k, n)], k, n
 
 
 def _sign(least: int):
     def run(batches):
         for b in batches:
-            ids, seqs, rows = [], [], []
+            ids, seqs, digests = [], [], []
             for i, q, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 c = canonical(text)
                 if len(c) >= least:
                     ids.append(i)
                     seqs.append(q)
-                    rows.append((hashlib.md5(c.encode("utf-8", "surrogatepass")).digest(), len(c), *tokens(c)))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * (2 + len(VIEWS))
-            lst = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(seqs, pa.int64()), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int32()), *(pa.array(c, lst) for c in cols[2:])], ["id", "seq", "digest", "chars", *VIEWS])
+                    digests.append(hashlib.md5(c.encode("utf-8", "surrogatepass")).digest())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(seqs, pa.int64()), pa.array(digests, pa.binary())], ["id", "seq", "digest"])
 
     return run
 
 
 def sign(docs: DataFrame, least: int = 1) -> DataFrame:
-    """docs (id, seq, text) with canonical texts of at least ``least`` characters -> SIGNED; one pass, no shuffle."""
-    return docs.select("id", "seq", "text").mapInArrow(_sign(least), SIGNED)
-
-
-#: The view number of the token that stands for the whole text.
-WHOLE = 9
-
-
-def listed(signed: DataFrame, whole: bool = False) -> DataFrame:
-    """(id, seq, info, token): one row for each token; ``info`` packs length, number of tokens and view into one long. With
-    ``whole`` one more row for each text, of view WHOLE, whose token is a hash of the text's digest."""
-    views = [F.struct(F.lit(v).cast("byte").alias("view"), F.col(c).alias("toks")) for v, c in enumerate(VIEWS)]
-    views = F.array(*views, *([F.struct(F.lit(WHOLE).cast("byte").alias("view"), F.array(F.xxhash64("digest")).alias("toks"))] if whole else []))
-    flat = signed.select("id", "seq", "chars", F.explode(views).alias("v"))
-    return flat.select("id", "seq", (F.shiftleft(F.col("chars").cast("long"), 16) + F.shiftleft(F.size("v.toks").cast("long"), 4) + F.col("v.view").cast("long")).alias("info"), F.explode("v.toks").alias("token"))
+    """docs (id, seq, text) with canonical texts of at least ``least`` characters -> (id, seq, digest); one pass, no shuffle."""
+    return docs.select("id", "seq", "text").mapInArrow(_sign(least), "id long, seq long, digest binary")
 
 
-def postings(flat: DataFrame) -> DataFrame:
-    """Rare-token prefixes as an inverted index: (token, df, id, seq, view, chars, m, pos) from ``listed`` rows.
+#: One row for each part and batch of texts: 32 bits of each listed window, text by text in their order, and of each text
+#: how many are listed, the number of its windows in the part, its id and its order. A listed window takes four bytes.
+PACKED = "part int, tokens binary, listed binary, sizes binary, ids binary, seqs binary"
 
-    Tokens of one text are ordered by document frequency. Tokens of a single text lead the order but meet no one, so they
-    only count as positions. The most frequent TAIL of a text's tokens is not listed: a pair that shares NEED of its tokens
-    still shares listed ones. Positions past which too few tokens remain are skipped when lists meet."""
-    df = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    per = flat.join(df, "token").groupBy("id", "seq", "info").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("l"))
-    per = per.select("id", "seq", F.col("info").bitwiseAND(15).cast("int").alias("view"), F.shiftright("info", 4).bitwiseAND(4095).cast("int").alias("m"), F.shiftright("info", 16).cast("int").alias("chars"), "l")
-    lone = F.col("m") - F.size("l")
-    per = per.withColumn("lone", lone).withColumn("l", F.slice("l", 1, F.greatest(F.lit(0), F.least(F.size("l"), F.col("m") - F.floor(_of(TAIL, "view") * F.col("m")).cast("int") - lone))))
-    return per.select("id", "seq", "view", "chars", "m", "lone", F.posexplode("l").alias("at", "t")).select(F.col("t.token").alias("token"), F.col("t.df").alias("df"), "id", "seq", "view", "chars", "m", (F.col("lone") + F.col("at")).alias("pos"))
 
+def _pack(order, parts: int):
+    def run(batches):
+        frequent, rank = order.value
+        for b in batches:
+            got = [prefixes(window_set(canonical(t)), frequent, rank, parts) for t in b.column(2).to_pylist()]
+            if not got:
+                continue
+            h = np.concatenate([g[0] for g in got])
+            listed, sizes = np.stack([g[1] for g in got]), np.stack([g[2] for g in got])
+            ids, seqs = (np.array(b.column(k).to_pylist(), np.int64) for k in (0, 1))
+            part = (h % np.uint64(parts)).astype(np.int32)
+            o = np.argsort(part, kind="stable")
+            ends = np.searchsorted(part[o], np.arange(parts + 1))
+            tok = ((h >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            for p in range(parts):
+                has = listed[:, p] > 0
+                if has.any():
+                    row = (tok[o[ends[p] : ends[p + 1]]], listed[has, p].astype(np.int32), sizes[has, p].astype(np.int32), ids[has], seqs[has])
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in row)], ["part", "tokens", "listed", "sizes", "ids", "seqs"])
 
-def _of(values: tuple, view: str) -> Column:
-    return F.element_at(F.array(*[F.lit(t) for t in values]), F.col(view) + 1)
-
-
-def _size_block(chars: Column) -> Column:
-    """Blocks of a list by length; partners lie in the same or a neighbouring block."""
-    return F.floor(F.log(chars.cast("double")) / F.lit(-float(np.log(LENGTHS)))).cast("int")
-
+    return run
 
-def candidates(index: DataFrame, probe: DataFrame, order: Column) -> DataFrame:
-    """Distinct pairs (a of the index, b of the probe) that may be similar and satisfy ``order`` (columns prefixed a_ and b_).
 
-    Lists are cut into blocks by length; a probe meets only the blocks whose lengths fit, and inside them the position
-    bound skips pairs whose remaining tokens cannot reach the threshold. Long lists are split further by salted parts of
-    the index side, to which their probes are repeated, so that no list is one task's work."""
-    parts = F.greatest(F.lit(1), F.ceil(F.col("df") / LIST_BLOCK).cast("int"))
-    a = index.select(*[F.col(c).alias(f"a_{c}") for c in index.columns], F.col("token"), _size_block(F.col("chars")).alias("block"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
-    b = probe.select(*[F.col(c).alias(f"b_{c}") for c in probe.columns], F.col("token"), F.explode(F.array(*[_size_block(F.col("chars")) + k for k in (-1, 0, 1)])).alias("block"), parts.alias("parts"))
-    b = b.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    need = F.floor(_of(NEED, "a_view") * F.least("a_m", "b_m"))
-    fits = (F.least("a_chars", "b_chars") >= LENGTHS * F.greatest("a_chars", "b_chars")) & (F.least(F.col("a_m") - F.col("a_pos"), F.col("b_m") - F.col("b_pos")) >= need)
-    longer = F.greatest("a_chars", "b_chars")
-    kind = F.when(longer <= SHORT, 2).when(longer <= MIDDLE, 1).otherwise(0)  # the view of the longer text
-    j = a.join(b, ["token", "block", "part"]).filter(order & fits & (F.col("a_view") == kind))
-    hits = j.groupBy(F.col("a_id").alias("a"), F.col("b_id").alias("b")).agg(F.count(F.lit(1)).alias("hits"), F.min(F.least("a_m", "b_m")).alias("m"), F.min("a_view").alias("view"))
-    # of the needed overlap so much must lie within the listed tokens
-    return hits.filter(F.col("hits") >= F.greatest(F.lit(1), F.floor(_of(NEED, "view") * F.col("m")) - F.floor(_of(TAIL, "view") * F.col("m")))).select("a", "b")
+def build_index(texts: DataFrame, order, parts: int) -> DataFrame:
+    """PACKED listed windows of texts (id, seq, text). ``order``: a broadcast of ``frequent_windows``; it and ``parts`` stay with an index."""
+    return texts.select("id", "seq", "text").mapInArrow(_pack(order, parts), PACKED)
+
+
+def _meet(rows: list):
+    """(a, b) arrays of the texts of one part that share enough listed windows; a is the earlier by (seq, id), and not both are
+    history (seq below 0)."""
+    tok, listed, n, ids, seqs = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in ((1, np.uint32), (2, np.int32), (3, np.int32), (4, np.int64), (5, np.int64)))
+    n = n.astype(np.int64)
+    # texts by size and id, so that of a pair the same one always comes first in a list
+    turn = np.lexsort((ids, n))
+    place = np.empty(len(ids), np.int64)
+    place[turn] = np.arange(len(ids))
+    own = np.repeat(place, listed)
+    pos = (np.arange(len(tok)) - np.repeat(np.cumsum(listed) - listed, listed)).astype(np.int32)
+    n, ids, seqs, listed = n[turn], ids[turn], seqs[turn], listed[turn].astype(np.int64)
+    key = (tok.astype(np.uint64) << np.uint64(31)) + own.astype(np.uint64)
+    o = np.argsort(key)
+    key, own, pos = key[o], own[o], pos[o]
+    # a list is met up to the last text whose size fits
+    far = np.searchsorted(n, n * DEN // NUM, "right")
+    more = np.searchsorted(key, (key >> np.uint64(31) << np.uint64(31)) + far[own].astype(np.uint64)) - np.arange(len(key)) - 1
+    # the smaller text of a pair counts only windows this early: the pair must share 2 NUM / (NUM + DEN) of them at least
+    more[pos >= n[own] + _shared(n[own]) - -(-2 * NUM * n[own] // (NUM + DEN))] = 0
+    work = np.cumsum(np.bincount(own, more, minlength=len(ids)))
+    by_own = np.argsort(own, kind="stable")
+    starts = np.searchsorted(own[by_own], np.arange(len(ids) + 1))
+    x0 = 0
+    while x0 < len(ids):
+        x1 = max(x0 + 1, int(np.searchsorted(work, (work[x0 - 1] if x0 else 0) + HELD, "right")))
+        i = by_own[starts[x0] : starts[x1]]
+        x0, c = x1, more[i]
+        j = np.repeat(i + 1 - (np.cumsum(c) - c), c) + np.arange(c.sum())
+        i = np.repeat(i, c)
+        x, y = own[i], own[j]
+        room = _shared(n[x]) - -(-NUM * (n[x] + n[y]) // (NUM + DEN))
+        keep = (pos[i] < n[x] + room) & (pos[j] < n[y] + room) & ((seqs[x] >= 0) | (seqs[y] >= 0)) & (x != y)
+        pair, hits = np.unique((x[keep] << 31) + y[keep], return_counts=True)
+        x, y = pair >> 31, pair & ((1 << 31) - 1)
+        enough = hits >= _shared(n[x])
+        x, y = x[enough], y[enough]
+        # of all listed windows, beyond those early ones, a pair of such sizes must share so many
+        least = np.minimum(listed[x] - n[x], listed[y] - n[y]) - (-NUM * (n[x] + n[y]) // (NUM + DEN))
+        c = listed[x]
+        at = by_own[np.repeat(starts[x] - (np.cumsum(c) - c), c) + np.arange(c.sum())]
+        ask = (key[at] >> np.uint64(31) << np.uint64(31)) + np.repeat(y, c).astype(np.uint64)
+        met = key[np.minimum(np.searchsorted(key, ask), len(key) - 1)] == ask
+        enough = np.bincount(np.repeat(np.arange(len(x)), c), met, minlength=len(x)) >= least
+        x, y = x[enough], y[enough]
+        swap = (seqs[x] > seqs[y]) | ((seqs[x] == seqs[y]) & (ids[x] > ids[y]))
+        yield ids[np.where(swap, y, x)], ids[np.where(swap, x, y)]
+
+
+def _meet_parts(batches):
+    def flush(rows):
+        for a, b in _meet(rows):
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    part, rows = None, []
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if r[0] != part:
+                if rows:
+                    yield from flush(rows)
+                part, rows = r[0], []
+            rows.append(r)
+    if rows:
+        yield from flush(rows)
+
+
+def candidates(index: DataFrame, parts: int) -> DataFrame:
+    """Distinct pairs (a, b), a the earlier by (seq, id) and b of seq 0 or more: every similar pair is among them."""
+    return index.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_meet_parts, "a long, b long").distinct()
+
+
+def index_parts(texts: DataFrame) -> int:
+    """Parts of an index over texts (text), of about PART listed windows each."""
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(6, -(-chars * (DEN - NUM) // (DEN * PART)))

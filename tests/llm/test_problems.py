@@ -68,6 +68,22 @@ def test_near_duplicates_equal_brute_force(spark):
     assert rep[3] == 0
 
 
+def test_scattered_edits_at_the_threshold_are_candidates(spark):
+    r, rows, sets = random.Random(5), [], {}
+    for f in range(120):
+        base = [r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1000)]
+        edited = list(base)
+        for at in range(10, 1000, 48):
+            edited[at] = "0"
+        for i, t in ((2 * f, "".join(base)), (2 * f + 1, "".join(edited))):
+            rows.append((i, t))
+            sets[i] = window_set(canonical(t))
+    want = {(a, a + 1) for a in range(0, 240, 2) if (lambda x: x[0] * 10 >= x[1] * 7)(similarity(sets[a], sets[a + 1]))}
+    assert len(want) > 100
+    got = near_classes(spark.createDataFrame(rows, "id long, text string"))[1]
+    assert {(x.a, x.b) for x in got.collect()} == want
+
+
 def test_repeated_lines(spark):
     docs = [(i, "s.test", f"Menu {i}\nown {' '.join(w.rstrip('0123456789') for w in words(i, 5))}\n\nShare this page") for i in range(6)] + [(10 + i, "t.test", f"other {words(i, 4)}") for i in range(6)] + [(99, "", "Share this page"), (98, "s.test", None)]
     got = {(r.id, r.line_no) for r in repeated_lines(spark.createDataFrame(docs, "id long, site string, text string")).collect()}
