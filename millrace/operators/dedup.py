@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import cut_lineage
 from millrace.sources import table
 
 # Thresholds of each content type, MinHash parameters (bands, rows) by threshold.
@@ -84,6 +85,39 @@ def signature(parts: Column) -> Column:
     return udf(F.transform(parts, lambda x: F.xxhash64(x)))
 
 
+def similar_sets(docs: DataFrame, parts: Column, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Membership (ord, rep) of documents with equal sets, and all pairs (a, b, jaccard) of representatives, a < b, that reach the threshold.
+
+    Exact prefix filter: parts ordered by document frequency, rare first; two similar sets share one of the first
+    n - ceil(threshold n) + 1 of each, whatever their sizes. Sizes and places bound what is met; sets travel only for candidate pairs."""
+    base = cut_lineage(docs.select("ord", F.array_sort(F.transform(parts, lambda x: F.xxhash64(x))).alias("parts")).filter(F.size("parts") > 0))
+    keyed = base.groupBy("parts").agg(F.min("ord").alias("rep"))
+    member = base.join(keyed, "parts").select("ord", "rep")
+    sets = cut_lineage(keyed.select(F.col("rep").alias("ord"), "parts"))
+    flat = sets.select("ord", F.size("parts").alias("n"), F.explode("parts").alias("t"))
+    df = flat.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    per = flat.join(df, "t").groupBy("ord", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("l"))
+    # parts of one set only lead the order and meet nothing: they take places
+    lone = F.col("n") - F.size("l")
+    keep = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1 - lone
+    pre = cut_lineage(per.filter(keep > 0).select("ord", "n", lone.alias("lone"), F.posexplode(F.slice("l", F.lit(1), F.least(keep, F.size("l")))).alias("at", "p")).select("ord", "n", F.col("p.t").alias("t"), (F.col("lone") + F.col("at")).alias("pos")))
+    x, y = (pre.select(F.col("ord").alias(s), F.col("n").alias(f"n{s}"), "t", F.col("pos").alias(f"p{s}")) for s in ("a", "b"))
+    least = threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-9
+    # at the first common part of a similar pair enough parts are left in both
+    pairs = x.join(y, "t").filter((F.col("a") < F.col("b")) & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= least)).select("a", "b").distinct()
+    p = pairs.join(sets.select(F.col("ord").alias("a"), F.col("parts").alias("xa")), "a").join(sets.select(F.col("ord").alias("b"), F.col("parts").alias("xb")), "b")
+    i = F.size(F.array_intersect("xa", "xb"))
+    return member, p.select("a", "b", (i / (F.size("xa") + F.size("xb") - i)).alias("jaccard")).filter(F.col("jaccard") >= threshold)
+
+
+def all_pairs(member: DataFrame, links: DataFrame) -> DataFrame:
+    """(a, b, jaccard) of all documents, a < b: links of representatives carried over to their copies, and pairs of copies at 1."""
+    x, y = member.select("rep", F.col("ord").alias("x")), member.select("rep", F.col("ord").alias("y"))
+    same = x.join(y, "rep").filter("x < y").select("x", "y", F.lit(1.0).alias("jaccard"))
+    across = links.join(x.withColumnRenamed("rep", "a"), "a").join(y.withColumnRenamed("rep", "b"), "b").select("x", "y", "jaccard")
+    return across.unionByName(same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+
+
 def lsh_pairs(docs: DataFrame, parts: Column, threshold: float = 0.8, verify: bool = True) -> DataFrame:
     """(a, b, jaccard) of documents (ord) with a < b that share a band and, unless ``verify`` is off, reach the threshold exactly.
 
@@ -164,16 +198,24 @@ def dedup_summary(spark, d):
 
 
 def dedup_minhash(spark, d):
-    """Verified MinHash pairs of documents by word tokens at 0.8."""
-    return lsh_pairs(_docs(spark, d), tokens(F.col("text"))).select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"), F.round("jaccard", 6).alias("jaccard"))
+    """All pairs of documents, copies too, whose word tokens reach 0.8."""
+    return all_pairs(*similar_sets(_docs(spark, d), tokens(F.col("text")), 0.8)).select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"), F.round("jaccard", 6).alias("jaccard"))
+
+
+def hybrid_verdicts(docs: DataFrame) -> DataFrame:
+    """(ord, verdict) of docs (ord, text): exact copies first, then near ones of an earlier document by character shingles at 0.85."""
+    t = cut_lineage(mark_exact(docs.select("ord", "text"), content_hash(canonical_html(F.col("text"))), "ord"))
+    member, links = similar_sets(t.filter(~F.col("is_duplicate")), shingles(F.col("text")), 0.85)
+    # a representative is the first of its set: all others of the set are near it
+    member = cut_lineage(member)
+    near = member.filter("ord != rep").select("ord").unionByName(links.select(F.col("b").alias("ord"))).distinct().withColumn("near", F.lit(True))
+    kind = F.when(F.col("is_duplicate"), "exact").when(F.col("near"), "near").otherwise("unique")
+    return t.join(near, "ord", "left").select("ord", kind.alias("verdict"))
 
 
 def dedup_hybrid(spark, d):
     """Exact copies first, then character shingles at 0.85 among the rest: the verdict and its kind for each document."""
-    t = mark_exact(_docs(spark, d), content_hash(canonical_html(F.col("text"))), "ord")
-    pairs = lsh_pairs(t.filter(~F.col("is_duplicate")), shingles(F.col("text")), 0.85).select(F.col("b").alias("ord")).distinct().withColumn("near", F.lit(True))
-    kind = F.when(F.col("is_duplicate"), "exact").when(F.col("near"), "near").otherwise("unique")
-    return t.join(pairs, "ord", "left").select(F.col("ord").alias("doc_id"), kind.alias("verdict"))
+    return hybrid_verdicts(_docs(spark, d)).withColumnRenamed("ord", "doc_id")
 
 
 def knn_semantic(spark, d):

@@ -4,7 +4,7 @@ from millrace.functions.canon import canonical_text, clean_domain, site_of
 from millrace.functions.clean import clean_text, slugify
 from millrace.functions.links import link_class, url_verdict
 from millrace.operators.dataset import chunk_tokens
-from millrace.operators.dedup import knn, lsh_pairs, mark_exact, shingles, tokens
+from millrace.operators.dedup import all_pairs, hybrid_verdicts, knn, lsh_pairs, mark_exact, shingles, similar_sets, tokens
 from millrace.operators.ops import replay_breaker
 from millrace.operators.quality import length_score, wired_score
 
@@ -55,6 +55,14 @@ def test_lsh_finds_near_copies(spark):
     assert {(r.a, r.b) for r in lsh_pairs(df, shingles(F.col("text")), 0.85).collect()} == {(1, 2)}
 
 
+def test_copies_and_pairs_at_the_threshold_are_found(spark):
+    rows = [(i, " ".join(f"w{i // 2}x{k + (i % 2) * 11}" for k in range(100))) for i in range(80)] + [(100, "A text in capitals and small letters."), (101, "a text in Capitals and small letters.")]
+    df = spark.createDataFrame(rows, "ord int, text string")
+    got = {(r.a, r.b) for r in all_pairs(*similar_sets(df, tokens(F.col("text")), 0.8)).collect()}
+    assert got == {(i, i + 1) for i in range(0, 80, 2)} | {(100, 101)}
+    assert {r.ord: r.verdict for r in hybrid_verdicts(df).filter("ord >= 100").collect()} == {100: "unique", 101: "near"}
+
+
 def test_knn_against_brute_force(spark):
     import numpy as np
 
