@@ -84,6 +84,12 @@ def test_scattered_edits_at_the_threshold_are_candidates(spark):
     assert {(x.a, x.b) for x in got.collect()} == want
 
 
+def test_a_text_given_twice_in_one_record_is_similar(spark):
+    t = variants()
+    got = near_classes(spark.createDataFrame([(1, t[0]), (2, f"{t[0]} {t[0]}"), (3, t[10])], "id long, text string"))[1]
+    assert {(x.a, x.b) for x in got.collect()} == {(1, 2)}
+
+
 def test_repeated_lines(spark):
     docs = [(i, "s.test", f"Menu {i}\nown {' '.join(w.rstrip('0123456789') for w in words(i, 5))}\n\nShare this page") for i in range(6)] + [(10 + i, "t.test", f"other {words(i, 4)}") for i in range(6)] + [(99, "", "Share this page"), (98, "s.test", None)]
     got = {(r.id, r.line_no) for r in repeated_lines(spark.createDataFrame(docs, "id long, site string, text string")).collect()}
