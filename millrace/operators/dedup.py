@@ -224,15 +224,32 @@ def knn_semantic(spark, d):
     return knn(v, v.filter("id % 50 = 0"), 10, -1.0).select(F.col("q").alias("vec_id"), F.col("id").alias("near_id"), F.col("rank").cast("long").alias("rank"), F.round("sim", 4).alias("sim"))
 
 
+def fuzzy_pairs(strings: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """(a, b, ta, tb, sim) of distinct strings (id, t), a < b, whose Levenshtein similarity reaches ``threshold`` (0.75 or more).
+
+    One edit breaks two 2-grams, so of a string that allows d edits any 2 d + 1 grams hold one that each similar string lists
+    too, taken by document frequency, rare first; repeated grams are told apart by their number. Strings of one character have
+    no similar other."""
+    n = F.length("t")
+    # a similar string is at most n / threshold long
+    edits = F.floor((1 - threshold) / threshold * n + 1e-9).cast("int")
+    g = strings.filter(n > 1).select("id", (2 * edits + 1).alias("k"), "t", F.explode(F.sequence(F.lit(1), n - 1)).alias("p"))
+    g = g.select("id", "k", "p", F.col("t").substr(F.col("p"), F.lit(2)).alias("g"))
+    g = cut_lineage(g.select("id", "k", "g", F.row_number().over(Window.partitionBy("id", "g").orderBy("p")).alias("no")))
+    df = g.groupBy("g", "no").agg(F.count(F.lit(1)).alias("df"))
+    pre = g.join(df, ["g", "no"]).withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("df", "g", "no"))).filter("r <= k and df > 1")
+    pre = cut_lineage(pre.join(strings.select("id", n.alias("n")), "id").select("id", "g", "no", "n"))
+    a, b = (pre.select(F.col("id").alias(s), "g", "no", F.col("n").alias(f"n{s}")) for s in ("a", "b"))
+    near = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)
+    pairs = a.join(b, ["g", "no"]).filter(near).select("a", "b").distinct()
+    j = pairs.join(strings.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(strings.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    return j.withColumn("sim", 1 - F.levenshtein("ta", "tb") / F.greatest(F.length("ta"), F.length("tb"))).filter(F.col("sim") >= threshold)
+
+
 def fuzzy_titles(spark, d):
-    """Titles that resemble the title of an earlier record with the same first ten characters: Levenshtein similarity of 0.85 or more."""
+    """Titles that resemble the title of an earlier record: Levenshtein similarity of 0.85 or more."""
     t = table(spark, d, "extracted_content").select("extract_id", F.lower(F.trim(F.coalesce("title", F.lit("")))).alias("t")).filter("t != ''")
-    first = t.groupBy("t").agg(F.min("extract_id").alias("id")).withColumn("k", F.substring("t", 1, 10))
-    a, b = first.select(F.col("id").alias("a"), F.col("t").alias("ta"), "k"), first.select(F.col("id").alias("b"), F.col("t").alias("tb"), "k")
-    n = F.greatest(F.length("ta"), F.length("tb"))
-    j = a.join(b, "k").filter((F.col("a") < F.col("b")) & (F.abs(F.length("ta") - F.length("tb")) <= 0.15 * n))
-    sim = 1 - F.levenshtein("ta", "tb") / n
-    j = j.withColumn("sim", sim).filter("sim >= 0.85")
+    j = fuzzy_pairs(cut_lineage(t.groupBy("t").agg(F.min("extract_id").alias("id"))))
     return j.select(F.col("a").alias("title_a"), F.col("b").alias("title_b"), F.round("sim", 6).alias("sim"), match_class(F.col("sim"), F.length("ta"), F.length("tb")).alias("match"))
 
 

@@ -4,7 +4,7 @@ from millrace.functions.canon import canonical_text, clean_domain, site_of
 from millrace.functions.clean import clean_text, slugify
 from millrace.functions.links import link_class, url_verdict
 from millrace.operators.dataset import chunk_tokens
-from millrace.operators.dedup import all_pairs, hybrid_verdicts, knn, lsh_pairs, mark_exact, shingles, similar_sets, tokens
+from millrace.operators.dedup import all_pairs, fuzzy_pairs, hybrid_verdicts, knn, lsh_pairs, mark_exact, shingles, similar_sets, tokens
 from millrace.operators.ops import replay_breaker
 from millrace.operators.quality import length_score, wired_score
 
@@ -63,6 +63,11 @@ def test_copies_and_pairs_at_the_threshold_are_found(spark):
     assert {r.ord: r.verdict for r in hybrid_verdicts(df).filter("ord >= 100").collect()} == {100: "unique", 101: "near"}
 
 
+def test_fuzzy_pairs_with_an_edit_at_the_front(spark):
+    rows = [(1, "frozen attic at the back entrance"), (2, "frozen selfie at the back entrance"), (3, "rozen attic at the back entrance"), (4, "other words"), (5, "a"), (6, "b")]
+    assert {(r.a, r.b) for r in fuzzy_pairs(spark.createDataFrame(rows, "id long, t string")).collect()} == {(1, 2), (1, 3)}
+
+
 def test_knn_against_brute_force(spark):
     import numpy as np
 
