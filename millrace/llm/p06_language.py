@@ -181,7 +181,7 @@ class Scorer:
         known = self.ids
         new = [w for w in dict.fromkeys(w for ws in split for w in ws) if w not in known]
         if new:
-            got = self.model.words([w[:400] for w in new])
+            got = self.model.words(new)
             while self.n + len(new) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
             self.rows[self.n : self.n + len(new)] = got

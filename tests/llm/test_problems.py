@@ -134,6 +134,11 @@ def test_languages_held_out(spark):
     assert np.mean([LANGS[k] == r.lang for k, r in zip(score.argmax(axis=1), held, strict=True)]) >= 0.97
 
 
+def test_a_long_run_is_scored_whole(spark):
+    score, letters = Scorer(fit_from(spark, SF)).lines(["ภาษาไทย" * 60 + "これはにほんごのぶんしょうです" * 100])
+    assert LANGS[score[0].argmax()] == "ja" and letters[0] > 1800
+
+
 @pytest.mark.parametrize(("line", "bad"), [
     ("Hello {{ first_name }}, welcome", True), ("In the template the tag {{ name }} is replaced.", False), ("render('a', {{ b }})", False), ("A shell expands ${HOME} before anyone sees it.", False), ("港__first_name__口", True),
     ("Please enable JavaScript to view this page.", True), ("404 - Page not found", True), ("Readers often ask what a 404 reply means.", False), ("Lorem ipsum dolor sit amet, tempor magna", True), ("The harbour is quiet.", False), ("", False),
