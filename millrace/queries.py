@@ -5,20 +5,14 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
-    "functions.text_metrics", "functions.language", "functions.clean", "functions.entities", "functions.links", "functions.markup", "operators.quality", "operators.dedup", "operators.dataset", "operators.ops", "operators.store", "streaming.state",
+    "functions.text_metrics", "functions.language", "functions.clean", "functions.entities", "functions.links", "operators.quality", "operators.dedup", "operators.dataset", "operators.ops", "operators.store", "streaming.state",
 )
 
 
 def _all(attr: str) -> dict:
     out: dict = {}
     for m in MODULES:
-        try:
-            module = import_module(f"millrace.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"millrace.{m}":
-                raise
-            continue
-        out |= getattr(module, attr)
+        out |= getattr(import_module(f"millrace.{m}"), attr)
     return out
 
 

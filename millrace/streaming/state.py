@@ -1,4 +1,4 @@
-"""Streams: keyed back-off with state, incremental exact deduplication with a watermark, dead-letter upserts by micro-batch."""
+"""Streams: keyed back-off with state, incremental exact deduplication with a watermark."""
 
 from __future__ import annotations
 

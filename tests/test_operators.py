@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from millrace import queries
 from millrace.functions.canon import canonical_text, clean_domain, site_of
 from millrace.functions.clean import clean_text, slugify
 from millrace.functions.links import link_class, url_verdict
@@ -9,6 +11,12 @@ from millrace.operators.ops import replay_breaker
 from millrace.operators.quality import length_score, wired_score
 
 
+def test_a_missing_module_fails(monkeypatch):
+    monkeypatch.setattr(queries, "MODULES", (*queries.MODULES, "functions.none"))
+    with pytest.raises(ModuleNotFoundError):
+        queries.queries()
+
+
 def one(spark, value, f, kind="string"):
     return spark.createDataFrame([(value,)], f"v {kind}").select(f(F.col("v")).alias("r")).first().r
 
