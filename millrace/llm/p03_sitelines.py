@@ -1,138 +1,91 @@
 """Problem 3: lines repeated across the documents of one site.
 
-Lines are parsed into templates by fixed-depth token trees (levels: number of tokens, first token, second token, with
-wildcards where a token holds digits); in a leaf, lines that agree in at least half of their tokens share a template
-whose other slots become wildcards. Trees are built on salted parts of a leaf and merged. A template that covers many
-documents of its site is repeated; ``p3_found`` adds the exact test of TESTDATA.md on each line of such a template.
+Lines are parsed into templates by fixed-depth token trees. The levels of a site's tree are the number of tokens and the
+first DEPTH tokens; a token that holds digits is a wildcard at once, and a token whose node covers too few lines of its site
+becomes its parent's wildcard slot. Behind the last level a slot is constant if all lines of the leaf agree in it, else a
+wildcard. Nodes are counts: each partition counts its own tree and the shuffle adds the counts of equal nodes, which merges
+the trees of all partitions. A template that covers many documents is repeated; ``p3_found`` adds the exact test of
+TESTDATA.md on each line of such a template.
 
-Scale: only leaves that by themselves cover enough documents ship any text, which is lossless because a leaf covers at
-least what its lines cover. Counts use 64-bit hashes of lines with map-side combine, so a hot site is split over tasks.
+No repeated line is lost: the nodes on its path hold at least the lines it stands in, so none of them becomes a wildcard.
+
+Scale: each level is one count by (site, node) with map-side combine, linear in the lines whatever the number of lines of a
+site or leaf; only hashes are shuffled. The nodes that stay are bounded by MIN_SHARE times a document's lines for each site.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.canon import canonical_text, site_of
+from millrace.functions.canon import site_of
 from millrace.plans import checked_broadcast
 from millrace.session import cut_lineage
 from millrace.sources import table
 
 MIN_DOCS = 4
 MIN_SHARE = 5  # one fifth
-AGREE = 0.5
+DEPTH = 3
 WILD = "<*>"
-PARTS = 4
 
 
-def line_key(line: Column) -> Column:
-    """Canonical line with each run of ASCII digits made one 0."""
-    return F.regexp_replace(canonical_text(line), "[0-9]+", "0")
+def line_keys(text: Column) -> Column:
+    """Canonical lines of a text with each run of ASCII digits made one 0: the text is rewritten whole, then split."""
+    flat = F.regexp_replace(F.lower(text), r"(?U)[\s&&[^\n ]][\s&&[^\n]]*| [\s&&[^\n]]+", " ")
+    return F.transform(F.split(F.regexp_replace(flat, "[0-9]+", "0"), "\n"), lambda x: F.trim(x))
+
+
+def _masked(token: Column) -> Column:
+    """Hash of a token; those with digits share that of the wildcard, a missing one has its own."""
+    return F.hash(F.when(token.contains("0"), F.lit(WILD)).otherwise(F.coalesce(token, F.lit(""))))
 
 
-def _leaf(key: Column) -> Column:
-    """Hash of the tree path of a line key: token count and the first two tokens, digits as wildcard."""
-    head = F.substring_index(key, " ", 2)
-    return F.xxhash64(F.length(key) - F.length(F.translate(key, " ", "")), F.regexp_replace(head, r"\S*0\S*", WILD))
+def _tokens(docs: DataFrame) -> DataFrame:
+    """(id, site, keys, toks): the lines of each document and their tokens. Null text is as an empty one."""
+    keys = docs.filter(F.col("site") != "").select("id", "site", line_keys(F.coalesce("text", F.lit(""))).alias("keys"))
+    return keys.select("id", "site", "keys", F.transform("keys", lambda k: F.split(k, " ")).alias("toks"))
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(id, site, hs, leaves): per line the hash of its key and of its leaf; 0 for blank lines."""
-    keys = docs.select("id", "site", F.transform(F.split("text", "\n"), line_key).alias("keys"))
-    return keys.select("id", "site", F.transform("keys", lambda k: F.when(k == "", F.lit(0)).otherwise(F.xxhash64(k))).alias("hs"), F.transform("keys", lambda k: F.when(k == "", F.lit(0)).otherwise(_leaf(k))).alias("leaves"))
-
-
-def _fit(tokens: list[str], templates: list[list[str]], index: dict) -> int:
-    """The template that agrees best with the tokens, at least AGREE; -1 if none."""
-    best, at = AGREE, -1
-    n = len(tokens)
-    for t in {*index.get((2, tokens[2] if n > 2 else ""), ()), *index.get((n - 1, tokens[-1]), ()), *index.get(WILD, ())}:
-        m = templates[t]
-        s = sum(a == b for a, b in zip(tokens, m, strict=True)) / n
-        if s >= best and (s > best or at < 0 or t < at):
-            best, at = s, t
-    return at
-
-
-def _grow(rows: list[tuple[list[str], int]]) -> tuple[list[list[str]], list[int], list[int]]:
-    """Templates of one leaf, their document counts (an upper bound: lines of one document add up), and for each row its template."""
-    templates: list[list[str]] = []
-    counts: list[int] = []
-    of: list[int] = []
-    index: dict = {}
-    for tokens, n in rows:
-        t = _fit(tokens, templates, index)
-        if t < 0:
-            t = len(templates)
-            templates.append(list(tokens))
-            counts.append(0)
-            index.setdefault((2, tokens[2] if len(tokens) > 2 else ""), set()).add(t)
-            index.setdefault((len(tokens) - 1, tokens[-1]), set()).add(t)
-        else:
-            m = templates[t]
-            for i, (a, b) in enumerate(zip(m, tokens, strict=True)):
-                if a != b and a != WILD:
-                    m[i] = WILD
-                    if i in (2, len(m) - 1):
-                        index.setdefault(WILD, set()).add(t)
-        counts[t] += n
-        of.append(t)
-    return templates, counts, of
-
-
-def _tree(key_cols: int, carry: bool):
-    """mapInArrow function over rows sorted by their first ``key_cols`` columns: site, leaf(, part), tokens, n, members."""
-
-    def run(batches):
-        group, rows, members, key = None, [], [], None
-
-        def flush():
-            if not rows:
-                return None
-            templates, counts, of = _grow(rows)
-            own: list[list] = [[] for _ in templates]
-            for m, t in zip(members, of, strict=True):
-                own[t].extend(m)
-            k = len(templates)
-            return pa.RecordBatch.from_arrays([pa.array([key[0]] * k, pa.string()), pa.array([key[1]] * k, pa.int64()), pa.array([" ".join(t) for t in templates], pa.string()), pa.array(counts, pa.int64()), pa.array(own, pa.list_(pa.int64()))], ["site", "leaf", "template", "n", "hs"])
-
-        for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            for r in zip(*cols, strict=True):
-                if r[:key_cols] != group:
-                    if out := flush():
-                        yield out
-                    group, rows, members, key = r[:key_cols], [], [], r[:2]
-                text, n, hs = r[key_cols:]
-                rows.append((text.split(" "), n))
-                members.append(hs)
-        if out := flush():
-            yield out
-
-    return run
-
-
-_TEMPLATES = "site string, leaf long, template string, n long, hs array<long>"
-
-
-def site_templates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """For docs (id, site, text): the templates (site, leaf, template, n, hs) that cover at least MIN_DOCS documents and one in
-    MIN_SHARE of their site's, hs being the hashes of their lines; the sites' sizes; line counts (site, h, docs); the signed
-    docs. Null text is as an empty one; a document without a host belongs to no site and holds no repeated line."""
-    signed = cut_lineage(_signed(docs.filter(F.col("site") != "").select("id", "site", F.coalesce("text", F.lit("")).alias("text"))))
-    sizes = signed.groupBy("site").agg(F.count(F.lit(1)).alias("site_docs"))
-    enough = lambda n: (F.col(n) >= MIN_DOCS) & (F.col(n) * MIN_SHARE >= F.col("site_docs"))
-    leaves = signed.select("site", F.explode(F.array_distinct("leaves")).alias("leaf")).filter("leaf != 0").groupBy("site", "leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_DOCS)
-    wide = cut_lineage(leaves.join(sizes, "site").filter(enough("n")).select("site", "leaf"))
-    counts = signed.select("site", F.explode(F.array_distinct("hs")).alias("h")).filter("h != 0").groupBy("site", "h").agg(F.count(F.lit(1)).alias("docs"))
-    text = docs.filter(F.col("site") != "").select("site", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), line_key))).alias("key")).filter("key != ''").withColumn("leaf", _leaf(F.col("key")))
-    lines = text.join(checked_broadcast(wide), ["site", "leaf"]).groupBy("site", "leaf", "key").agg(F.count(F.lit(1)).alias("n"))
-    part = lines.select("site", "leaf", F.pmod(F.xxhash64("key"), F.lit(PARTS)).cast("int").alias("part"), "key", "n", F.array(F.xxhash64("key")).alias("hs"))
-    local = part.repartition("site", "leaf", "part").sortWithinPartitions("site", "leaf", "part", "key").mapInArrow(_tree(3, True), _TEMPLATES)
-    merged = local.repartition("site", "leaf").sortWithinPartitions("site", "leaf", "template").mapInArrow(_tree(2, True), _TEMPLATES)
-    return merged.join(sizes, "site").filter(enough("n")), sizes, counts, signed
+    """(id, site, hs, ns, t1..): per line the hash of its key (0 for blank lines), its number of tokens, hashes of its first tokens."""
+    hs = F.transform("keys", lambda k: F.when(k == "", F.lit(0).cast("long")).otherwise(F.xxhash64(k))).alias("hs")
+    at = lambda i: lambda t: _masked(F.get(t, F.lit(i)))
+    first = [F.transform("toks", at(i)).alias(f"t{i + 1}") for i in range(DEPTH)]
+    return _tokens(docs).select("id", "site", hs, F.transform("toks", lambda t: F.size(t)).alias("ns"), *first)
+
+
+def _lines(signed: DataFrame) -> DataFrame:
+    """(id, site, line_no, h, node, t1..) of each line that is not blank; node: that of its number of tokens."""
+    cols = ("hs", "ns", *(f"t{i + 1}" for i in range(DEPTH)))
+    x = signed.select("id", "site", F.posexplode(F.arrays_zip(*cols)).alias("line_no", "z")).filter("z.hs != 0")
+    return x.select("id", "site", "line_no", F.col("z.hs").alias("h"), F.xxhash64("z.ns").alias("node"), *(F.col(f"z.t{i + 1}") for i in range(DEPTH)))
+
+
+def _wide(lines: DataFrame, sizes: DataFrame, *key: str) -> DataFrame:
+    """(site, key...) that hold enough lines of their site, as a table."""
+    n = lines.groupBy("site", *key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_DOCS)
+    return checked_broadcast(cut_lineage(n.join(sizes, "site").filter(F.col("n") * MIN_SHARE >= F.col("site_docs")).select("site", *key)))
+
+
+def _step(lines: DataFrame, level: int, kept: DataFrame) -> DataFrame:
+    """Each line's node one level deeper: the child by its token if that was kept, else the wildcard child."""
+    child = lines.withColumn("child", F.xxhash64("node", f"t{level}"))
+    marked = child.join(kept.select("site", F.col("child"), F.lit(True).alias("kept")), ["site", "child"], "left")
+    return marked.withColumn("node", F.when(F.col("kept"), F.col("child")).otherwise(F.xxhash64("node", F.lit(WILD)))).drop("child", "kept")
+
+
+def site_trees(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame], DataFrame]:
+    """For docs (id, site, text): the lines (id, site, line_no, h, node) of leaves that hold enough lines, node being the leaf; the
+    sites' sizes; the kept nodes of each level; the kept leaves. A document without a host belongs to no site."""
+    signed = cut_lineage(_signed(docs))
+    sizes = cut_lineage(signed.groupBy("site").agg(F.count(F.lit(1)).alias("site_docs")))
+    lines, kept = _lines(signed), []
+    for level in range(1, DEPTH + 1):
+        nodes = _wide(lines.withColumn("child", F.xxhash64("node", f"t{level}")), sizes, "child")
+        kept.append(nodes)
+        lines = _step(lines, level, nodes)
+    leaves = _wide(lines, sizes, "node")
+    return lines.join(leaves, ["site", "node"], "left_semi").select("id", "site", "line_no", "h", "node"), sizes, kept, leaves
 
 
 def _docs(spark, d: str) -> DataFrame:
@@ -140,13 +93,31 @@ def _docs(spark, d: str) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(id, line_no) of each line that is exactly repeated within its site (TESTDATA.md), found through templates."""
-    templates, sizes, counts, signed = site_templates(docs)
-    members = templates.select("site", F.explode("hs").alias("h")).distinct()
-    hot = members.join(counts.filter(F.col("docs") >= MIN_DOCS), ["site", "h"]).join(sizes, "site").filter(F.col("docs") * MIN_SHARE >= F.col("site_docs"))
-    hot = checked_broadcast(cut_lineage(hot.select("site", "h")))
-    lines = signed.select("id", "site", F.posexplode("hs").alias("line_no", "h")).filter("h != 0")
-    return lines.join(hot, ["site", "h"], "left_semi").select("id", F.col("line_no").cast("long").alias("line_no"))
+    """(id, line_no) of each line that is exactly repeated within its site (TESTDATA.md), found through templates.
+
+    Repeated rows of docs count as documents of their own only by id; null and empty texts hold no line."""
+    lines, sizes, _, _ = site_trees(docs)
+    often = _wide(lines, sizes, "node", "h")
+    # a line given twice in one document counts once
+    held = lines.join(often, ["site", "node", "h"], "left_semi")
+    n = held.select("id", "site", "h").distinct().groupBy("site", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_DOCS)
+    hot = checked_broadcast(cut_lineage(n.join(sizes, "site").filter(F.col("n") * MIN_SHARE >= F.col("site_docs")).select("site", "h")))
+    return held.join(hot, ["site", "h"], "left_semi").select("id", F.col("line_no").cast("long").alias("line_no"))
+
+
+def site_templates(docs: DataFrame) -> DataFrame:
+    """(site, template, n_lines, n_docs, site_docs) of the templates that cover enough documents of their site."""
+    lines, sizes, _, _ = site_trees(docs)
+    cover = lines.groupBy("site", "node").agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("id").alias("n_docs"))
+    cover = cut_lineage(cover.join(sizes, "site").filter((F.col("n_docs") >= MIN_DOCS) & (F.col("n_docs") * MIN_SHARE >= F.col("site_docs"))))
+    # distinct lines of these leaves, then each slot: constant if its least and greatest token agree
+    held = cut_lineage(lines.join(checked_broadcast(cover.select("site", "node")), ["site", "node"], "left_semi").select("site", "node", "h").distinct())
+    text = _tokens(docs).select("site", F.explode(F.arrays_zip("keys", "toks")).alias("z")).select("site", F.xxhash64("z.keys").alias("h"), F.col("z.toks").alias("toks"))
+    slots = text.join(checked_broadcast(held), ["site", "h"]).select("site", "node", F.posexplode("toks").alias("pos", "tok"))
+    slots = slots.groupBy("site", "node", "pos").agg(F.min("tok").alias("lo"), F.max("tok").alias("hi"))
+    slot = F.when((F.col("lo") == F.col("hi")) & ~F.col("lo").contains("0"), F.col("lo")).otherwise(F.lit(WILD))
+    made = slots.groupBy("site", "node").agg(F.sort_array(F.collect_list(F.struct("pos", slot.alias("s")))).alias("l"))
+    return made.join(cover, ["site", "node"]).select("site", F.array_join(F.transform("l", lambda x: x["s"]), " ").alias("template"), "n_lines", "n_docs", "site_docs")
 
 
 def p3_found(spark, d: str) -> DataFrame:
@@ -155,7 +126,7 @@ def p3_found(spark, d: str) -> DataFrame:
 
 def p3_templates(spark, d: str) -> DataFrame:
     """Line templates that cover many documents of a site."""
-    return site_templates(_docs(spark, d))[0].select("site", "template", F.col("n").alias("n_lines"), "site_docs")
+    return site_templates(_docs(spark, d))
 
 
 def p3_cleaned(spark, d: str) -> DataFrame:
