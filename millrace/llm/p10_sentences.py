@@ -16,6 +16,10 @@ from millrace.sources import table
 # Private-use placeholders.
 DOT, IN_QUOTE, QUOTE_END, IN_BRACKET, BRACKET_END, CUT, SAID_END = "", "", "", "", "", "", ""
 TERMINATORS = ".!?。！？…।؟｡"
+#: Items whose running sums are made together.
+CHUNK = 256
+#: White space of Unicode, as trimmed from the ends of units.
+BLANKS = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 # Abbreviations that never end a sentence while text follows.
 NEVER = (
@@ -61,32 +65,27 @@ _COMMON = (
     r"|[.؟](?<=[\u0600-\u06ff][.؟])(?=[\u0600-\u06ff]{2})|।(?=[\u0900-\u097f])"
     rf"|{SAID_END}+\"{_REFS}(?=\s*[^\s\p{{Ll}},;、，と—–.])"
 )
-_CASED = rf"[.!?…।؟]+[\"(]?{_REFS}(?=\s+[^\s\p{{Ll}},;])|{QUOTE_END}+\"{_REFS}(?=\s+[\p{{Lu}}\"¿¡\[(\d])|{BRACKET_END}+\({_REFS}(?=\s+[^\s\p{{Ll}},;])" + _COMMON
-_LOWER = rf"[!?।؟]+[\"(]?{_REFS}(?=\s+[^\s,;])|\.(?<![.]\.)[\"(]?{_REFS}(?=\s+[^\s,;])|{BRACKET_END}+\({_REFS}(?=\s+[^\s,;])" + _COMMON
+#: The characters that a cut may follow; looked at first, so that other positions cost one comparison.
+_MARK = rf"(?=[.!?…।؟。！？｡{QUOTE_END}{BRACKET_END}{SAID_END}])"
+_CASED = _MARK + rf"(?:[.!?…।؟]+[\"(]?{_REFS}(?=\s+[^\s\p{{Ll}},;])|{QUOTE_END}+\"{_REFS}(?=\s+[\p{{Lu}}\"¿¡\[(\d])|{BRACKET_END}+\({_REFS}(?=\s+[^\s\p{{Ll}},;])" + _COMMON + ")"
+_LOWER = _MARK + rf"(?:[!?।؟]+[\"(]?{_REFS}(?=\s+[^\s,;])|\.(?<![.]\.)[\"(]?{_REFS}(?=\s+[^\s,;])|{BRACKET_END}+\({_REFS}(?=\s+[^\s,;])" + _COMMON + ")"
 #: Thai parts its sentences by spaces.
 _THAI = r"[\u0e00-\u0e7f0-9\"(.!?…](?=\s+[\"(]?[\u0e00-\u0e7f])"
 
 
 def _hide(part: Column, inner: str, final: Column) -> Column:
     """Terminators of a quoted or bracketed part masked by ``inner``; those at its very end by ``final``."""
-    hidden = F.translate(part, TERMINATORS, inner * len(TERMINATORS))
-    last = F.regexp_extract(hidden, inner + r"+(?=\s*$)", 0)
-    body = F.regexp_replace(hidden, inner + r"+(\s*)$", "")
-    tail = F.regexp_extract(hidden, inner + r"+(\s*)$", 1)
-    return F.when(last != "", F.concat(body, F.repeat(final, F.length(last)), tail)).otherwise(hidden)
+    return F.regexp_replace(F.translate(part, TERMINATORS, inner * len(TERMINATORS)), F.lit(inner + "(?=" + inner + r"*\s*$)"), final)
 
 
 def _inside(block: Column, mark: str, inner: str, final: str, said: str | None) -> Column:
     """Every second part between two ``mark``s of a block hidden; a block with an odd number of marks stays as it is.
 
     With ``said``, a part introduced by a colon or comma ends its sentence and gets ``said`` instead of ``final``."""
-    step = lambda a, x: F.struct(
-        F.when(a["odd"], F.concat(a["s"], F.lit(mark), _hide(x, inner, F.when(a["said"], F.lit(said)).otherwise(F.lit(final)) if said else F.lit(final)))).otherwise(F.concat(a["s"], F.lit(mark), x)).alias("s"),
-        (~a["odd"]).alias("odd"),
-        x.rlike(r"[:：,，]\s*$").alias("said"),
-    )
-    start = F.struct(F.lit("").alias("s"), F.lit(False).alias("odd"), F.lit(False).alias("said"))
-    done = F.aggregate(F.split(block, "[" + mark + "]"), start, step, lambda a: F.substring(a["s"], 2, 1 << 30))
+    parts = F.split(block, "[" + mark + "]")
+    pairs = F.zip_with(parts, F.concat(F.array(F.lit("")), parts), lambda x, before: F.struct(x.alias("x"), before.alias("before")))  # one longer: cut off below
+    end = lambda z: F.when(z["before"].rlike(r"[:：,，]\s*$"), F.lit(said)).otherwise(F.lit(final)) if said else F.lit(final)
+    done = F.array_join(F.transform(F.slice(pairs, F.lit(1), F.size(parts)), lambda z, i: F.when(i % 2 == 1, _hide(z["x"], inner, end(z))).otherwise(z["x"])), mark)
     marks = F.length(block) - F.length(F.translate(block, mark, ""))
     return F.when((marks > 0) & (marks % 2 == 0), done).otherwise(block)
 
@@ -98,17 +97,26 @@ def masked_blocks(text: Column) -> Column:
     return F.split(F.regexp_replace(F.regexp_replace(listed, MASK, DOT), _BLOCK, "\n" + CUT), CUT)
 
 
-def sentence_pieces(block: Column) -> Column:
-    """A masked block cut into sentences, white space still at their ends."""
-    hidden = _inside(_inside(block, '"', IN_QUOTE, QUOTE_END, SAID_END), "(", IN_BRACKET, BRACKET_END, None)
-    lower = ~block.rlike(r"\p{Lu}") & block.rlike(r"\p{Ll}")  # a block without capitals
-    cut = F.when(lower, F.regexp_replace(hidden, _LOWER, "$0" + CUT)).otherwise(F.regexp_replace(hidden, _CASED, "$0" + CUT))
-    return F.split(F.when(block.rlike(r"[\u0e00-\u0e7f]"), F.regexp_replace(cut, _THAI, "$0" + CUT)).otherwise(cut), CUT)
+def sentence_pieces(blocks: DataFrame) -> DataFrame:
+    """blocks (b, ...) with ``p``: the masked block cut into sentences, white space still at their ends. One select for each step, as
+    an expression used several times in one select would be worked out several times."""
+    rest = [c for c in blocks.columns if c != "b"]
+    step = blocks.select(*rest, "b", _inside(F.col("b"), '"', IN_QUOTE, QUOTE_END, SAID_END).alias("h"))
+    step = step.select(*rest, "b", _inside(F.col("h"), "(", IN_BRACKET, BRACKET_END, None).alias("h"))
+    lower = ~F.col("b").rlike(r"\p{Lu}") & F.col("b").rlike(r"\p{Ll}")  # a block without capitals
+    thai = F.col("b").rlike(r"[\u0e00-\u0e7f]")
+    step = step.select(*rest, thai.alias("thai"), F.when(lower, F.regexp_replace("h", _LOWER, "$0" + CUT)).otherwise(F.regexp_replace("h", _CASED, "$0" + CUT)).alias("h"))
+    return step.select(*rest, F.split(F.when(F.col("thai"), F.regexp_replace("h", _THAI, "$0" + CUT)).otherwise(F.col("h")), CUT).alias("p"))
 
 
 def _starts(lengths: Column, first: Column) -> Column:
-    """Running sums: the position at which each item begins."""
-    return F.slice(F.aggregate(lengths, F.array(first), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))), 1, F.size(lengths))
+    """Running sums: the position at which each item begins. Sums run inside chunks and over the chunks' totals, as a growing
+    array is copied at each step: the work for n items is n times CHUNK, not n times n."""
+    running = lambda xs, at: F.slice(F.aggregate(xs, F.array(at), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))), 1, F.size(xs))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / CHUNK).cast("int")), lambda c: F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK)))
+    totals = F.transform(chunks, lambda xs: F.aggregate(xs, F.lit(0), lambda a, n: a + n))
+    long = F.flatten(F.zip_with(chunks, running(totals, first), running))
+    return F.when(F.size(lengths) <= CHUNK, running(lengths, first)).otherwise(long)
 
 
 def sentences(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
@@ -116,9 +124,11 @@ def sentences(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataF
 
     Null, empty and blank texts give no unit; repeated rows give their units again; other columns are ignored."""
     rows = docs.select(F.col(id_).alias("_id"), masked_blocks(F.col(text)).alias("b")).filter(F.col("b").isNotNull())
-    block = rows.select("_id", F.explode(F.arrays_zip("b", _starts(F.transform("b", lambda x: F.length(x)), F.lit(0)).alias("at"))).alias("z")).select("_id", F.col("z.at").alias("at"), sentence_pieces(F.col("z.b")).alias("p"))
-    piece = block.select("_id", F.explode(F.arrays_zip("p", _starts(F.transform("p", lambda x: F.length(x)), F.col("at")).alias("at"))).alias("z")).select("_id", F.col("z.p").alias("p"), F.col("z.at").alias("at"))
-    unit = piece.select("_id", "at", F.length(F.regexp_replace("p", r"(?U)\s+$", "")).alias("r"), (F.length("p") - F.length(F.regexp_replace("p", r"(?U)^\s+", ""))).alias("l")).filter("r > 0")
+    rows = rows.select("_id", "b", F.transform("b", lambda x: F.length(x)).alias("n"))
+    block = rows.select("_id", F.explode(F.arrays_zip("b", _starts(F.col("n"), F.lit(0)).alias("at"))).alias("z")).select("_id", F.col("z.at").alias("at"), F.col("z.b").alias("b"))
+    piece = sentence_pieces(block).select("_id", "at", "p", F.transform("p", lambda x: F.length(x)).alias("n"))
+    piece = piece.select("_id", F.explode(F.arrays_zip("p", _starts(F.col("n"), F.col("at")).alias("at"))).alias("z")).select("_id", F.col("z.p").alias("p"), F.col("z.at").alias("at"))
+    unit = piece.select("_id", "at", F.length(F.rtrim(F.col("p"), F.lit(BLANKS))).alias("r"), (F.length("p") - F.length(F.ltrim(F.col("p"), F.lit(BLANKS)))).alias("l")).filter("r > 0")
     return unit.select(F.col("_id").alias(id_), (F.col("at") + F.col("l")).cast("long").alias("start_pos"), (F.col("at") + F.col("r")).cast("long").alias("end_pos"))
 
 
