@@ -20,12 +20,23 @@ from millrace.plans import checked_broadcast
 from millrace.session import cut_lineage
 from millrace.sources import table
 
-from .windows import DEN, NUM, build_index, candidates, canonical, frequent_windows, index_parts, sign, similarity, window_set
+from .windows import DEN, NUM, build_index, candidates, canonical, index_splits, sign, similarity, window_order, window_set
 
 MIN_CHARS = 300
 GROUP = 64
 
 
+def _apart(lead: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of two sorted sets what the second has more, and what it lacks."""
+    if not len(lead) or not len(own):
+        return own, lead
+    at = np.minimum(np.searchsorted(lead, own), len(lead) - 1)
+    both = lead[at] == own
+    lacks = np.ones(len(lead), bool)
+    lacks[at[both]] = False
+    return own[~both], lead[lacks]
+
+
 def _verify(num: int, den: int):
     """mapInArrow over rows (g, i, j, id, text, partners) sorted by group: similar pairs with intersection and union."""
 
@@ -34,20 +45,19 @@ def _verify(num: int, den: int):
         asked = [(r[3], p) for r in rows for p in r[5] or () if p in sets]
         if not asked:
             return []
-        lead = sets[min(sets)]
         out = []
         if len(asked) == 1:
             a, b = asked[0]
             i, u = similarity(sets[a], sets[b])
             return [(a, b, i, u)] if i * den >= u * num else []
-        need = {x for ab in asked for x in ab}
-        # differences to the leader: what it lacks, and what of it is missing
-        more = {x: np.setdiff1d(sets[x], lead, assume_unique=True) for x in need}
-        less = {x: np.setdiff1d(lead, sets[x], assume_unique=True) for x in need}
+        lead = sets[min(sets)]
+        # differences to the leader: what a member has more, and what of the leader it lacks
+        apart = {x: _apart(lead, sets[x]) for x in {x for ab in asked for x in ab}}
         for a, b in asked:
-            if len(more[a]) + len(less[a]) + len(more[b]) + len(less[b]) < len(sets[a]) + len(sets[b]):
-                gone = len(less[a]) + len(less[b]) - len(np.intersect1d(less[a], less[b], assume_unique=True))
-                i = len(lead) - gone + len(np.intersect1d(more[a], more[b], assume_unique=True))
+            (more_a, less_a), (more_b, less_b) = apart[a], apart[b]
+            if len(more_a) + len(less_a) + len(more_b) + len(less_b) < len(sets[a]) + len(sets[b]):
+                gone = len(less_a) + len(less_b) - similarity(less_a, less_b)[0]
+                i = len(lead) - gone + similarity(more_a, more_b)[0]
                 u = len(sets[a]) + len(sets[b]) - i
             else:
                 i, u = similarity(sets[a], sets[b])
@@ -93,9 +103,9 @@ def verified(pairs: DataFrame, texts: DataFrame, num: int = NUM, den: int = DEN)
 
 def similar_candidates(texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of texts (id, seq, text) among which is every similar one; b is of seq 0 or more."""
-    parts = index_parts(texts)
-    order = texts.sparkSession.sparkContext.broadcast(frequent_windows(texts))
-    return candidates(build_index(texts, order, parts), parts)
+    splits = index_splits(texts)
+    order = texts.sparkSession.sparkContext.broadcast(window_order(texts))
+    return candidates(build_index(texts, order, splits), splits)
 
 
 def near_classes(docs: DataFrame, least: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:

@@ -1,12 +1,15 @@
 """Sets of 8-character windows: hashes, exact candidate pairs by rare-first prefixes of the whole sets, digests.
 
 Two texts are similar by the Jaccard index of their sets of distinct 8-character windows of the canonical text, at least
-NUM / DEN. Candidates lose no similar pair. All possible windows are dealt to parts by hash; a pair that reaches the
+NUM / DEN. Candidates lose no similar pair. All possible windows are dealt to PARTS parts by hash; a pair that reaches the
 threshold reaches it in at least one part (a ratio of sums is at most the largest ratio), so each part is joined by
 itself. In a part the windows of a text are put into one global order, and of two sets of n and m windows that share at
 least o = NUM (n + m) / (NUM + DEN) the first n - o + l and m - o + l share at least l, whatever the order is. The order is
-for speed only: windows met in several texts of a sample come last, the most frequent at the very end, the others by hash.
+for speed only: windows come by how often their hash bucket was met in a sample of texts, rare first.
 Sizes are numbers of distinct windows, so repeated text counts once. What passes is verified on all windows.
+
+Scale: the number of parts is fixed, as a text's windows must not be spread too thin. An index larger than that many tasks
+should hold is split by window as well (``splits``): l shared windows of a part lie in some split by l / splits at least.
 """
 
 from __future__ import annotations
@@ -21,50 +24,54 @@ from pyspark.sql import functions as F
 WIDTH = 8
 #: The similarity two texts need, as a fraction of integers so that the bound itself is exact.
 NUM, DEN = 7, 10
-#: Texts sampled for the order of windows, and the sampled texts that a window is met in to count as frequent.
-SAMPLE = 2000
-FREQUENT = 3
-#: Listed windows of one part of the index, and meetings of them looked at together.
-PART = 4_000_000
+#: Texts sampled for the order of windows, characters read of each, and bits of the table of hash buckets that keeps how often they were met.
+SAMPLE, SAMPLE_CHARS, TABLE_BITS = 2000, 20_000, 22
+#: Parts of the windows, listed windows of one part and split, and meetings of them looked at together.
+PARTS = 8
+SPLIT = 5_000_000
 HELD = 3_000_000
 
-_MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
+_M1, _M2, _M4 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xA0761D6478BD642F)
 
 
 def canonical(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+def window_hashes(canon: str) -> np.ndarray:
+    """64-bit hash of each 8-character window of a canonical text, in order; empty below 8 characters. A sum of the characters by
+    fixed odd factors, made by doubling the width three times, then mixed."""
+    h = np.frombuffer(canon.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    if len(h) < WIDTH:
+        return np.zeros(0, np.uint64)
+    h = h[:-1] * _M1 + h[1:]
+    h = h[:-2] * _M2 + h[2:]
+    h = h[:-4] * _M4 + h[4:]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0x7FB5D329728EA185)
     return h ^ (h >> np.uint64(27))
 
 
-def window_hashes(canon: str) -> np.ndarray:
-    """64-bit hash of each 8-character window of a canonical text, in order; empty below 8 characters."""
-    cp = np.frombuffer(canon.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    n = len(cp) - WIDTH + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = cp[:n] * _MUL[0]
-    for j in range(1, WIDTH):
-        h = h + cp[j : j + n] * _MUL[j]
-    return _mix(h)
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h.sort()
+    return h[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else h
 
 
 def window_set(canon: str) -> np.ndarray:
-    return np.unique(window_hashes(canon))
+    return _distinct(window_hashes(canon))
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """(intersection, union) of two window sets."""
-    i = len(np.intersect1d(a, b, assume_unique=True))
+    if len(a) > len(b):
+        a, b = b, a
+    i = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()) if len(a) else 0
     return i, len(a) + len(b) - i
 
 
 def _shared(n):
     """The number l of shared listed windows that a pair needs whose smaller set has n windows in the part."""
-    return np.maximum(1, n // 20)
+    return np.maximum(1, n // 32)
 
 
 def _listed(n):
@@ -72,30 +79,37 @@ def _listed(n):
     return np.where(n > 0, n - -(-NUM * n // DEN) + _shared(n), 0)
 
 
-def frequent_windows(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Windows met in at least FREQUENT texts of a sample of about SAMPLE texts (id, text): sorted hashes, and the rank of each."""
+def _early(n):
+    """How many of them count where the set is the smaller of a pair: it must share 2 NUM / (NUM + DEN) of its windows at least."""
+    return n + _shared(n) - -(-2 * NUM * n // (NUM + DEN))
+
+
+def window_order(texts: DataFrame) -> bytes:
+    """For each bucket of the hashes' leading TABLE_BITS bits how often its most frequent window was met in a sample of at most
+    2 SAMPLE texts (id, text): 0 for never or once, else the logarithm's steps up to 15. A table of fixed size."""
     k = max(1, texts.count() // SAMPLE)
-    rows = texts.filter(F.pmod(F.xxhash64("id"), F.lit(k)) == 0).select(F.substring("text", 1, 20_000).alias("text")).limit(2 * SAMPLE).collect()  # bounded
+    rows = texts.filter(F.pmod(F.xxhash64("id"), F.lit(k)) == 0).select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(2 * SAMPLE).collect()  # bounded
     sets = [window_set(canonical(r.text)) for r in rows]
-    h, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    h, n = h[n >= FREQUENT], n[n >= FREQUENT]
-    rank = np.empty(len(h), np.int32)
-    rank[np.argsort(n, kind="stable")] = np.arange(len(h), dtype=np.int32)
-    return h, rank
-
-
-def prefixes(windows: np.ndarray, frequent: np.ndarray, rank: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a sorted set the listed windows by part and order, and for each part how many are listed and how many there are."""
-    part = (windows % np.uint64(parts)).astype(np.int64)
-    late = np.zeros(len(windows), np.int64)
-    if len(frequent) and len(windows):
-        at = np.minimum(np.searchsorted(frequent, windows), len(frequent) - 1)
-        late = np.where(frequent[at] == windows, rank[at].astype(np.int64) + 1, 0)
-    o = np.argsort((part << 32) + late, kind="stable")
-    n = np.bincount(part, minlength=parts)
+    table = np.zeros(1 << TABLE_BITS, np.uint8)
+    if sets:
+        h = np.sort(np.concatenate(sets))
+        at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        n = np.diff(np.concatenate((at, [len(h)])))
+        often = n > 1
+        np.maximum.at(table, (h[at[often]] >> np.uint64(64 - TABLE_BITS)).astype(np.int64), np.minimum(15, np.log2(n[often]) * 2 - 1).astype(np.uint8))
+    return table.tobytes()
+
+
+def prefixes(canon: str, table: np.ndarray, parts: int = PARTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a text the listed windows by part and order, and for each part how many are listed and how many there are.
+
+    A window is kept as part, class of its bucket and 32 + bits of its hash in one number, so that one sort gives parts and order."""
+    h = window_hashes(canon)
+    key = _distinct((h % np.uint64(parts) << np.uint64(60)) | (table[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8)))
+    n = np.diff(np.searchsorted(key, np.arange(parts + 1, dtype=np.uint64) << np.uint64(60))) if parts < 16 else np.bincount((key >> np.uint64(60)).astype(np.int64), minlength=parts)
     k = _listed(n)
-    pos = np.arange(len(windows)) - np.repeat(np.cumsum(n) - n, n)
-    return windows[o][pos < np.repeat(k, n)], k, n
+    at = np.repeat(np.cumsum(n) - n - (np.cumsum(k) - k), k) + np.arange(k.sum())
+    return key[at], k, n
 
 
 def _sign(least: int):
@@ -118,111 +132,136 @@ def sign(docs: DataFrame, least: int = 1) -> DataFrame:
     return docs.select("id", "seq", "text").mapInArrow(_sign(least), "id long, seq long, digest binary")
 
 
-#: One row for each part and batch of texts: 32 bits of each listed window, text by text in their order, and of each text
-#: how many are listed, the number of its windows in the part, its id and its order. A listed window takes four bytes.
-PACKED = "part int, tokens binary, listed binary, sizes binary, ids binary, seqs binary"
-
+#: One row for each slot (part and split) and some texts: 32 bits of each listed window, text by text in their order, and of
+#: each text how many are listed and how many of them are early, the number of its windows in the part, its id and its order.
+PACKED = "slot int, tokens binary, listed binary, early binary, sizes binary, ids binary, seqs binary"
+_NAMES = [c.split()[0] for c in PACKED.split(", ")]
+
+
+def _pack(order, splits: int):
+    slots = PARTS * splits
+
+    def rows(ids, seqs, texts, table):
+        got = [prefixes(canonical(t), table) for t in texts]
+        key, listed, sizes = np.concatenate([g[0] for g in got]), np.stack([g[1] for g in got]), np.stack([g[2] for g in got])
+        n = len(got)
+        part = (key >> np.uint64(60)).astype(np.int64)
+        flat = listed.ravel()
+        early = np.arange(len(key)) - np.repeat(np.cumsum(flat) - flat, flat) < np.repeat(np.where(sizes > 0, _early(sizes), 0).ravel(), flat)
+        slot = part * splits + ((key >> np.uint64(32)) & np.uint64(0xFFFFFF)).astype(np.int64) % splits
+        own = slot * n + np.repeat(np.arange(n), listed.sum(axis=1))
+        per, per_early = (np.bincount(x, minlength=slots * n).reshape(slots, n).astype(np.int32) for x in (own, own[early]))
+        o = np.argsort(slot, kind="stable")
+        tok = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)[o]
+        ends = np.concatenate(([0], np.cumsum(per.sum(axis=1))))
+        for s in range(slots):
+            has = per[s] > 0
+            if has.any():
+                row = (tok[ends[s] : ends[s + 1]], per[s][has], per_early[s][has], sizes[has, s // splits].astype(np.int32), ids[has], seqs[has])
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in row)], _NAMES)
 
-def _pack(order, parts: int):
     def run(batches):
-        frequent, rank = order.value
-        for b in batches:
-            got = [prefixes(window_set(canonical(t)), frequent, rank, parts) for t in b.column(2).to_pylist()]
-            if not got:
-                continue
-            h = np.concatenate([g[0] for g in got])
-            listed, sizes = np.stack([g[1] for g in got]), np.stack([g[2] for g in got])
-            ids, seqs = (np.array(b.column(k).to_pylist(), np.int64) for k in (0, 1))
-            part = (h % np.uint64(parts)).astype(np.int32)
-            o = np.argsort(part, kind="stable")
-            ends = np.searchsorted(part[o], np.arange(parts + 1))
-            tok = ((h >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            for p in range(parts):
-                has = listed[:, p] > 0
-                if has.any():
-                    row = (tok[o[ends[p] : ends[p + 1]]], listed[has, p].astype(np.int32), sizes[has, p].astype(np.int32), ids[has], seqs[has])
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in row)], ["part", "tokens", "listed", "sizes", "ids", "seqs"])
+        table = np.frombuffer(order.value, np.uint8)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):  # bounds what is held at once
+                b = whole.slice(at, 1000)
+                yield from rows(*(np.array(b.column(k).to_pylist(), np.int64) for k in (0, 1)), b.column(2).to_pylist(), table)
 
     return run
 
 
-def build_index(texts: DataFrame, order, parts: int) -> DataFrame:
-    """PACKED listed windows of texts (id, seq, text). ``order``: a broadcast of ``frequent_windows``; it and ``parts`` stay with an index."""
-    return texts.select("id", "seq", "text").mapInArrow(_pack(order, parts), PACKED)
+def build_index(texts: DataFrame, order, splits: int) -> DataFrame:
+    """PACKED listed windows of texts (id, seq, text). ``order``: a broadcast of a ``window_order`` as bytes; it and ``splits`` stay with an index."""
+    return texts.select("id", "seq", "text").mapInArrow(_pack(order, splits), PACKED)
 
 
-def _meet(rows: list):
-    """(a, b) arrays of the texts of one part that share enough listed windows; a is the earlier by (seq, id), and not both are
+def index_splits(texts: DataFrame) -> int:
+    """Splits of an index over texts (text), so that a slot holds about SPLIT listed windows at most."""
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(1, -(-chars * (DEN - NUM) // (DEN * PARTS * SPLIT)))
+
+
+def _meet(rows: list, splits: int):
+    """(a, b) arrays of the texts of one slot that share enough listed windows; a is the earlier by (seq, id), and not both are
     history (seq below 0)."""
-    tok, listed, n, ids, seqs = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in ((1, np.uint32), (2, np.int32), (3, np.int32), (4, np.int64), (5, np.int64)))
+    tok, listed, early, n, ids, seqs = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in ((1, np.uint32), (2, np.int32), (3, np.int32), (4, np.int32), (5, np.int64), (6, np.int64)))
     n = n.astype(np.int64)
+    start = np.cumsum(listed) - listed
     # texts by size and id, so that of a pair the same one always comes first in a list
     turn = np.lexsort((ids, n))
-    place = np.empty(len(ids), np.int64)
-    place[turn] = np.arange(len(ids))
-    own = np.repeat(place, listed)
-    pos = (np.arange(len(tok)) - np.repeat(np.cumsum(listed) - listed, listed)).astype(np.int32)
-    n, ids, seqs, listed = n[turn], ids[turn], seqs[turn], listed[turn].astype(np.int64)
-    key = (tok.astype(np.uint64) << np.uint64(31)) + own.astype(np.uint64)
-    o = np.argsort(key)
-    key, own, pos = key[o], own[o], pos[o]
+    place = np.empty(len(ids), np.uint64)
+    place[turn] = np.arange(len(ids), dtype=np.uint64)
+    first = np.arange(len(tok)) - np.repeat(start, listed) < np.repeat(early, listed)
+    # a list entry in one number: window, text, early or not
+    key = (tok.astype(np.uint64) << np.uint64(32)) | (np.repeat(place, listed) << np.uint64(1)) | first
+    key.sort()
+    n, ids, seqs, start, listed = n[turn], ids[turn], seqs[turn], start[turn], listed[turn]
     # a list is met up to the last text whose size fits
-    far = np.searchsorted(n, n * DEN // NUM, "right")
-    more = np.searchsorted(key, (key >> np.uint64(31) << np.uint64(31)) + far[own].astype(np.uint64)) - np.arange(len(key)) - 1
-    # the smaller text of a pair counts only windows this early: the pair must share 2 NUM / (NUM + DEN) of them at least
-    more[pos >= n[own] + _shared(n[own]) - -(-2 * NUM * n[own] // (NUM + DEN))] = 0
-    work = np.cumsum(np.bincount(own, more, minlength=len(ids)))
-    by_own = np.argsort(own, kind="stable")
-    starts = np.searchsorted(own[by_own], np.arange(len(ids) + 1))
-    x0 = 0
-    while x0 < len(ids):
-        x1 = max(x0 + 1, int(np.searchsorted(work, (work[x0 - 1] if x0 else 0) + HELD, "right")))
-        i = by_own[starts[x0] : starts[x1]]
-        x0, c = x1, more[i]
-        j = np.repeat(i + 1 - (np.cumsum(c) - c), c) + np.arange(c.sum())
-        i = np.repeat(i, c)
-        x, y = own[i], own[j]
-        room = _shared(n[x]) - -(-NUM * (n[x] + n[y]) // (NUM + DEN))
-        keep = (pos[i] < n[x] + room) & (pos[j] < n[y] + room) & ((seqs[x] >= 0) | (seqs[y] >= 0)) & (x != y)
-        pair, hits = np.unique((x[keep] << 31) + y[keep], return_counts=True)
-        x, y = pair >> 31, pair & ((1 << 31) - 1)
-        enough = hits >= _shared(n[x])
-        x, y = x[enough], y[enough]
-        # of all listed windows, beyond those early ones, a pair of such sizes must share so many
-        least = np.minimum(listed[x] - n[x], listed[y] - n[y]) - (-NUM * (n[x] + n[y]) // (NUM + DEN))
-        c = listed[x]
-        at = by_own[np.repeat(starts[x] - (np.cumsum(c) - c), c) + np.arange(c.sum())]
-        ask = (key[at] >> np.uint64(31) << np.uint64(31)) + np.repeat(y, c).astype(np.uint64)
-        met = key[np.minimum(np.searchsorted(key, ask), len(key) - 1)] == ask
-        enough = np.bincount(np.repeat(np.arange(len(x)), c), met, minlength=len(x)) >= least
-        x, y = x[enough], y[enough]
-        swap = (seqs[x] > seqs[y]) | ((seqs[x] == seqs[y]) & (ids[x] > ids[y]))
-        yield ids[np.where(swap, y, x)], ids[np.where(swap, x, y)]
-
-
-def _meet_parts(batches):
+    far = np.searchsorted(n, n * DEN // NUM, "right").astype(np.uint64)
+    need = -(-_shared(n) // splits)
+    text_of = lambda k: ((k >> np.uint64(1)) & np.uint64(0x7FFFFFFF)).astype(np.int64)
+    is_new = (seqs >= 0)[text_of(key)]
+    asks = [(key[(key & np.uint64(1)).astype(bool)], key)] if is_new.all() else [(key[is_new & (key & np.uint64(1)).astype(bool)], key), (key[~is_new & (key & np.uint64(1)).astype(bool)], key[is_new])]
+    entries = key >> np.uint64(1)
+    for ask, lists in asks:
+        x = text_of(ask)
+        window = ask >> np.uint64(32) << np.uint64(32)
+        lo = np.searchsorted(lists, ask | np.uint64(1), "right")
+        c = np.maximum(np.searchsorted(lists, window | (far[x] << np.uint64(1))) - lo, 0)
+        o = np.argsort(x, kind="stable")
+        x, lo, c = x[o], lo[o], c[o]
+        work = np.cumsum(c)
+        last = np.flatnonzero(np.concatenate((x[1:] != x[:-1], [True]))) if len(x) else x  # a text's entries stay together
+        partners = ((lists >> np.uint64(1)) & np.uint64(0x7FFFFFFF)).astype(np.uint32)
+        at = 0
+        while at < len(x):
+            to = last[min(len(last) - 1, np.searchsorted(work[last], (work[at - 1] if at else 0) + HELD))] + 1
+            cc = c[at:to]
+            j = np.repeat(lo[at:to] - (np.cumsum(cc) - cc), cc) + np.arange(cc.sum())
+            pair = (np.repeat(x[at:to].astype(np.uint64), cc) << np.uint64(32)) | partners[j]
+            at = to
+            if not len(pair):
+                continue
+            pair.sort()
+            run = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+            hits = np.diff(np.concatenate((run, [len(pair)])))
+            pair = pair[run]
+            a, b = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            enough = (hits >= need[a]) & (a != b)
+            a, b = a[enough], b[enough]
+            if splits == 1 and len(a):
+                # of all listed windows, beyond those early ones, a pair of such sizes must share so many
+                least = np.minimum(listed[a] - n[a], listed[b] - n[b]) - (-NUM * (n[a] + n[b]) // (NUM + DEN))
+                k = listed[a]
+                own = tok[np.repeat(start[a] - (np.cumsum(k) - k), k) + np.arange(k.sum())].astype(np.uint64)
+                want = (own << np.uint64(31)) | np.repeat(b, k).astype(np.uint64)
+                met = entries[np.minimum(np.searchsorted(entries, want), len(entries) - 1)] == want
+                enough = np.bincount(np.repeat(np.arange(len(a)), k), met, minlength=len(a)) >= least
+                a, b = a[enough], b[enough]
+            swap = (seqs[a] > seqs[b]) | ((seqs[a] == seqs[b]) & (ids[a] > ids[b]))
+            yield ids[np.where(swap, b, a)], ids[np.where(swap, a, b)]
+
+
+def _meet_slots(splits: int):
     def flush(rows):
-        for a, b in _meet(rows):
+        for a, b in _meet(rows, splits):
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    part, rows = None, []
-    for b in batches:
-        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if r[0] != part:
-                if rows:
-                    yield from flush(rows)
-                part, rows = r[0], []
-            rows.append(r)
-    if rows:
-        yield from flush(rows)
-
+    def run(batches):
+        slot, rows = None, []
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if r[0] != slot:
+                    if rows:
+                        yield from flush(rows)
+                    slot, rows = r[0], []
+                rows.append(r)
+        if rows:
+            yield from flush(rows)
 
-def candidates(index: DataFrame, parts: int) -> DataFrame:
-    """Distinct pairs (a, b), a the earlier by (seq, id) and b of seq 0 or more: every similar pair is among them."""
-    return index.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_meet_parts, "a long, b long").distinct()
+    return run
 
 
-def index_parts(texts: DataFrame) -> int:
-    """Parts of an index over texts (text), of about PART listed windows each."""
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    return max(6, -(-chars * (DEN - NUM) // (DEN * PART)))
+def candidates(index: DataFrame, splits: int) -> DataFrame:
+    """Distinct pairs (a, b), a the earlier by (seq, id) and b of seq 0 or more: every similar pair is among them. One task a slot."""
+    return index.repartitionById(PARTS * splits, F.col("slot")).sortWithinPartitions("slot").mapInArrow(_meet_slots(splits), "a long, b long").distinct()
