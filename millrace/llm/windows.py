@@ -1,15 +1,16 @@
 """Sets of 8-character windows: hashes, exact candidate pairs by rare-first prefixes of the whole sets, digests.
 
 Two texts are similar by the Jaccard index of their sets of distinct 8-character windows of the canonical text, at least
-NUM / DEN. Candidates lose no similar pair. All possible windows are dealt to PARTS parts by hash; a pair that reaches the
+NUM / DEN. Candidates lose no similar pair. All possible windows are dealt to parts by hash; a pair that reaches the
 threshold reaches it in at least one part (a ratio of sums is at most the largest ratio), so each part is joined by
 itself. In a part the windows of a text are put into one global order, and of two sets of n and m windows that share at
 least o = NUM (n + m) / (NUM + DEN) the first n - o + l and m - o + l share at least l, whatever the order is. The order is
 for speed only: windows come by how often their hash bucket was met in a sample of texts, rare first.
 Sizes are numbers of distinct windows, so repeated text counts once. What passes is verified on all windows.
 
-Scale: the number of parts is fixed, as a text's windows must not be spread too thin. An index larger than that many tasks
-should hold is split by window as well (``splits``): l shared windows of a part lie in some split by l / splits at least.
+Scale: one task joins one slot of bounded size. Parts grow with the index up to MOST_PARTS, as a text's windows must not be
+spread too thin; a larger index is split by window as well (``splits``): l shared windows of a part lie in some split by
+l / splits at least. The meetings of one part are worked on in blocks of HELD.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ WIDTH = 8
 NUM, DEN = 7, 10
 #: Texts sampled for the order of windows, characters read of each, and bits of the table of hash buckets that keeps how often they were met.
 SAMPLE, SAMPLE_CHARS, TABLE_BITS = 2000, 20_000, 22
-#: Parts of the windows, listed windows of one part and split, and meetings of them looked at together.
-PARTS = 8
-SPLIT = 5_000_000
+#: Least and most parts of the windows, listed windows of one slot (part and split), and meetings of them looked at together.
+LEAST_PARTS, MOST_PARTS = 8, 64
+SLOT = 5_000_000
 HELD = 3_000_000
 
 _M1, _M2, _M4 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xA0761D6478BD642F)
@@ -71,7 +72,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 def _shared(n):
     """The number l of shared listed windows that a pair needs whose smaller set has n windows in the part."""
-    return np.maximum(1, n // 32)
+    return np.where(n < 16, 1, 2 + n // 32)
 
 
 def _listed(n):
@@ -100,13 +101,13 @@ def window_order(texts: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def prefixes(canon: str, table: np.ndarray, parts: int = PARTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def prefixes(canon: str, table: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a text the listed windows by part and order, and for each part how many are listed and how many there are.
 
-    A window is kept as part, class of its bucket and 32 + bits of its hash in one number, so that one sort gives parts and order."""
+    A window is kept as part (8 bits), class of its bucket (4) and its hash (52) in one number, so that one sort gives parts and order."""
     h = window_hashes(canon)
-    key = _distinct((h % np.uint64(parts) << np.uint64(60)) | (table[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8)))
-    n = np.diff(np.searchsorted(key, np.arange(parts + 1, dtype=np.uint64) << np.uint64(60))) if parts < 16 else np.bincount((key >> np.uint64(60)).astype(np.int64), minlength=parts)
+    key = _distinct((h % np.uint64(parts) << np.uint64(56)) | (table[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(52)) | (h >> np.uint64(12)))
+    n = np.diff(np.concatenate((np.searchsorted(key, np.arange(parts, dtype=np.uint64) << np.uint64(56)), [len(key)])))
     k = _listed(n)
     at = np.repeat(np.cumsum(n) - n - (np.cumsum(k) - k), k) + np.arange(k.sum())
     return key[at], k, n
@@ -138,17 +139,17 @@ PACKED = "slot int, tokens binary, listed binary, early binary, sizes binary, id
 _NAMES = [c.split()[0] for c in PACKED.split(", ")]
 
 
-def _pack(order, splits: int):
-    slots = PARTS * splits
+def _pack(order, parts: int, splits: int):
+    slots = parts * splits
 
     def rows(ids, seqs, texts, table):
-        got = [prefixes(canonical(t), table) for t in texts]
+        got = [prefixes(canonical(t), table, parts) for t in texts]
         key, listed, sizes = np.concatenate([g[0] for g in got]), np.stack([g[1] for g in got]), np.stack([g[2] for g in got])
         n = len(got)
-        part = (key >> np.uint64(60)).astype(np.int64)
+        part = (key >> np.uint64(56)).astype(np.int64)
         flat = listed.ravel()
         early = np.arange(len(key)) - np.repeat(np.cumsum(flat) - flat, flat) < np.repeat(np.where(sizes > 0, _early(sizes), 0).ravel(), flat)
-        slot = part * splits + ((key >> np.uint64(32)) & np.uint64(0xFFFFFF)).astype(np.int64) % splits
+        slot = part * splits + ((key >> np.uint64(32)) & np.uint64(0xFFFFF)).astype(np.int64) % splits
         own = slot * n + np.repeat(np.arange(n), listed.sum(axis=1))
         per, per_early = (np.bincount(x, minlength=slots * n).reshape(slots, n).astype(np.int32) for x in (own, own[early]))
         o = np.argsort(slot, kind="stable")
@@ -170,15 +171,27 @@ def _pack(order, splits: int):
     return run
 
 
-def build_index(texts: DataFrame, order, splits: int) -> DataFrame:
-    """PACKED listed windows of texts (id, seq, text). ``order``: a broadcast of a ``window_order`` as bytes; it and ``splits`` stay with an index."""
-    return texts.select("id", "seq", "text").mapInArrow(_pack(order, splits), PACKED)
+def build_index(texts: DataFrame, order, shape: tuple[int, int]) -> DataFrame:
+    """PACKED listed windows of texts (id, seq, text). ``order``: a broadcast of a ``window_order`` as bytes; it and the
+    ``shape`` (parts, splits) stay with an index."""
+    return texts.select("id", "seq", "text").mapInArrow(_pack(order, *shape), PACKED)
 
 
-def index_splits(texts: DataFrame) -> int:
-    """Splits of an index over texts (text), so that a slot holds about SPLIT listed windows at most."""
+def index_shape(texts: DataFrame) -> tuple[int, int]:
+    """(parts, splits) of an index over texts (text), so that a slot holds about SLOT listed windows at most."""
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    return max(1, -(-chars * (DEN - NUM) // (DEN * PARTS * SPLIT)))
+    slots = -(-chars * (DEN - NUM) // (DEN * SLOT))
+    return min(MOST_PARTS, max(LEAST_PARTS, slots)), max(1, -(-slots // MOST_PARTS))
+
+
+def _cuts(work: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of items with about HELD units of work each, at least one item each."""
+    total, out, at = np.cumsum(work), [], 0
+    while at < len(work):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + HELD, "right")))
+        out.append((at, to))
+        at = to
+    return out
 
 
 def _meet(rows: list, splits: int):
@@ -203,6 +216,16 @@ def _meet(rows: list, splits: int):
     is_new = (seqs >= 0)[text_of(key)]
     asks = [(key[(key & np.uint64(1)).astype(bool)], key)] if is_new.all() else [(key[is_new & (key & np.uint64(1)).astype(bool)], key), (key[~is_new & (key & np.uint64(1)).astype(bool)], key[is_new])]
     entries = key >> np.uint64(1)
+
+    def enough_listed(a, b):
+        """Of all listed windows, beyond the early ones, a pair of such sizes must share so many."""
+        least = np.minimum(listed[a] - n[a], listed[b] - n[b]) - (-NUM * (n[a] + n[b]) // (NUM + DEN))
+        k = listed[a]
+        own = tok[np.repeat(start[a] - (np.cumsum(k) - k), k) + np.arange(k.sum())].astype(np.uint64)
+        want = (own << np.uint64(31)) | np.repeat(b, k).astype(np.uint64)
+        met = entries[np.minimum(np.searchsorted(entries, want), len(entries) - 1)] == want
+        return np.bincount(np.repeat(np.arange(len(a)), k), met, minlength=len(a)) >= least
+
     for ask, lists in asks:
         x = text_of(ask)
         window = ask >> np.uint64(32) << np.uint64(32)
@@ -230,13 +253,7 @@ def _meet(rows: list, splits: int):
             enough = (hits >= need[a]) & (a != b)
             a, b = a[enough], b[enough]
             if splits == 1 and len(a):
-                # of all listed windows, beyond those early ones, a pair of such sizes must share so many
-                least = np.minimum(listed[a] - n[a], listed[b] - n[b]) - (-NUM * (n[a] + n[b]) // (NUM + DEN))
-                k = listed[a]
-                own = tok[np.repeat(start[a] - (np.cumsum(k) - k), k) + np.arange(k.sum())].astype(np.uint64)
-                want = (own << np.uint64(31)) | np.repeat(b, k).astype(np.uint64)
-                met = entries[np.minimum(np.searchsorted(entries, want), len(entries) - 1)] == want
-                enough = np.bincount(np.repeat(np.arange(len(a)), k), met, minlength=len(a)) >= least
+                enough = np.concatenate([enough_listed(a[k:m], b[k:m]) for k, m in _cuts(listed[a])])
                 a, b = a[enough], b[enough]
             swap = (seqs[a] > seqs[b]) | ((seqs[a] == seqs[b]) & (ids[a] > ids[b]))
             yield ids[np.where(swap, b, a)], ids[np.where(swap, a, b)]
@@ -262,6 +279,7 @@ def _meet_slots(splits: int):
     return run
 
 
-def candidates(index: DataFrame, splits: int) -> DataFrame:
+def candidates(index: DataFrame, shape: tuple[int, int]) -> DataFrame:
     """Distinct pairs (a, b), a the earlier by (seq, id) and b of seq 0 or more: every similar pair is among them. One task a slot."""
-    return index.repartitionById(PARTS * splits, F.col("slot")).sortWithinPartitions("slot").mapInArrow(_meet_slots(splits), "a long, b long").distinct()
+    parts, splits = shape
+    return index.repartitionById(parts * splits, F.col("slot")).sortWithinPartitions("slot").mapInArrow(_meet_slots(splits), "a long, b long").distinct()
