@@ -1,13 +1,16 @@
 """Problem 7: template residue, filler, error pages and script notices in place of content.
 
-Units are the distinct message lines (up to MAX_LINE characters, digits masked, slots masked). Trusted seeds are units
-that match the fixed patterns below. Units are put into four partitioned SimHash tables (16 bits each); from the seeds
-the labels spread through connected components: the frontier probes the tables, a hit is verified by Hamming distance
-and by text similarity, and new residue units form the next frontier until none is new. Longer lines hold residue only
-through unfilled slots or filler words, judged sentence by sentence, since messages are short.
-
-Scale: units are pre-aggregated over all records; only the frontier, not the whole table, meets the SimHash tables, so
-no pairs within a bucket of ordinary lines are formed. Component labels stay in distributed tables.
+Units are message lines, and the sentences of longer lines, with digits masked. Trusted seeds are units that match the fixed
+patterns below, hold an unfilled slot or are filler Latin. From the message seeds the labels spread through connected
+components: SimHashes (64 bits over character trigrams) are kept in TABLES partitioned tables of BITS bits; the frontier is
+put into them, each unit is looked up in all, what meets is verified by Hamming distance and by text similarity, and new
+residue units form the next frontier until none is new. Seeds by slot or filler do not spread: the same sentence with its slot
+filled is content.
+
+Scale: a record's units leave the reading pass as hashes, each distinct unit of a task's stream once with its SimHash; texts
+are read again only for units that meet the tables. The frontier, which variants of messages make up, is sent to the units
+in blocks of BLOCK rows, so its size does not matter to memory; no pairs of ordinary units are formed and nothing else is
+collected.
 """
 
 from __future__ import annotations
@@ -15,18 +18,23 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.plans import checked_broadcast
 from millrace.session import cut_lineage
 from millrace.sources import table
 
+#: Longer lines are judged sentence by sentence.
 MAX_LINE = 240
-HAMMING = 3
-SIMILAR = 0.8
+#: SimHash tables: window t holds BITS bits from bit 64 t / TABLES on.
+TABLES, BITS = 16, 12
+#: Bits that near-duplicates may differ in before their texts are compared, the similarity that texts need, and the characters.
+HAMMING, SIMILAR, SPREADS = 14, 0.8, 20
+BLOCK = 20_000
+#: Distinct units that a worker remembers; beyond, it starts a new store (units are then given again, which changes nothing).
+STORE = 300_000
 
 # The notations of unfilled slots.
 SLOT = (
@@ -74,10 +82,6 @@ _SLOT = re.compile(SLOT)
 _SPEAKS = re.compile(SPEAKS, re.I)
 _CODE = re.compile(CODE)
 _MESSAGE = re.compile("|".join(f"(?:{m})" for m in MESSAGES), re.I)
-#: The prefilter that runs in the JVM on long lines: any character or word that a slot or filler must have.
-_MAYBE = r"\{\{|\{%|[$#]\{|\[\[|%\(|%[A-Za-z_.]+%|@@|__|<[a-z%]|\[(?:INSERT|Insert|insert|YOUR|Your|your)\b|TODO:|FIXME:|TBD:|XXX|(?i:\b(?:lorem|ipsum|consectetur|eiusmod|laboris|cillum|nostrud|excepteur|occaecat|cupidatat|ullamco|aliquip|proident)\b)"
-
-
 def _unfilled(line: str) -> bool:
     """A slot in a sentence that does not speak of slots."""
     if _CODE.search(line) and not _SLOT.match(line.strip()):
@@ -93,16 +97,33 @@ def _filler(line: str) -> bool:
     return len(w) >= 4 and n >= 0.6 * len(w) and sum(len(x) > 4 and x in LATIN for x in w) >= 2
 
 
+_SLOT_SIGNS = ("{", "%", "[", "@@", "__", "<", "TODO", "FIXME", "TBD", "XXX")
+_SENTENCE = re.compile(r"(?<=[.!?।])\s+|(?<=[。！？])")
+_DIGITS = re.compile(r"\d+")
+
+
+def _kind(s: str) -> int:
+    """Of a trimmed unit: 1 a message, 2 an unfilled slot or filler, 0 none of these."""
+    if any(x in s for x in _SLOT_SIGNS) and _SLOT.search(s) and _unfilled(s):
+        return 2
+    if _filler(s):
+        return 2
+    return int(len(s) <= MAX_LINE and bool(_MESSAGE.fullmatch(_DIGITS.sub("0", s))))
+
+
+def units_of(line: str) -> list[str]:
+    """A line, or the sentences of a long one, trimmed; none for a blank line."""
+    s = line.strip()
+    return [s] if len(s) <= MAX_LINE and s else [x for x in map(str.strip, _SENTENCE.split(s)) if x]
+
+
 def is_residue(line: str) -> bool:
     """The trusted test of one line."""
-    s = line.strip()
-    if not s:
-        return False
-    if _SLOT.search(s) and _unfilled(s):
-        return True
-    if _filler(s):
-        return True
-    return len(s) <= MAX_LINE and bool(_MESSAGE.fullmatch(re.sub(r"\d+", "0", s)))
+    return any(_kind(u) for u in units_of(line))
+
+
+#: The bits of a byte in the bytes of a 64-bit number, so that up to 255 bytes are counted by bit in one sum.
+_LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], dtype=np.uint64)
 
 
 def simhash64(texts: list[str]) -> np.ndarray:
@@ -110,74 +131,170 @@ def simhash64(texts: list[str]) -> np.ndarray:
     out = np.zeros(len(texts), dtype=np.uint64)
     for at in range(0, len(texts), 4096):
         part = [f"  {t.lower()} " for t in texts[at : at + 4096]]
-        cp = np.frombuffer("".join(part).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        cp = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
         n = np.array([len(t) - 2 for t in part])
-        starts = np.concatenate([[0], np.cumsum(n + 2)[:-1]])
         ends = np.cumsum(n)
-        pos = np.repeat(starts - np.concatenate([[0], ends[:-1]]), n) + np.arange(ends[-1])
+        first = ends - n
+        pos = np.arange(ends[-1]) + np.repeat(2 * np.arange(len(part)), n)
         h = cp[pos] * np.uint64(0x9E3779B97F4A7C15) ^ cp[pos + 1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ cp[pos + 2] * np.uint64(0x165667B19E3779F9)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-        votes = np.add.reduceat(bits.astype(np.int32), np.concatenate([[0], ends[:-1]]), axis=0)
-        sig = (votes * 2 > n[:, None]).astype(np.uint8)
-        out[at : at + len(part)] = np.packbits(sig, axis=1).view(np.uint64).ravel()
+        # sums run over pieces of at most 255 trigrams of one text
+        pieces = -(-n // 255)
+        cuts = np.repeat(first, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        votes = np.empty((len(part), 64), np.int64)
+        for byte in range(8):
+            sums = np.add.reduceat(_LANES[(h >> np.uint64(8 * byte)).astype(np.uint8)], cuts).view(np.uint8).reshape(-1, 8)
+            votes[:, 8 * byte : 8 * byte + 8] = np.add.reduceat(sums.astype(np.int64), np.cumsum(pieces) - pieces, axis=0)
+        out[at : at + len(part)] = np.packbits((votes * 2 > n[:, None]).astype(np.uint8), axis=1, bitorder="little").view(np.uint64).ravel()
     return out
 
 
-@F.pandas_udf(T.StructType().add("seed", T.BooleanType()).add("sim", T.LongType()))
-def _judge(units: pd.Series) -> pd.DataFrame:
-    t = units.tolist()
-    return pd.DataFrame({"seed": [is_residue(x) for x in t], "sim": simhash64(t).view(np.int64) if t else np.zeros(0, np.int64)})
-
-
-@F.pandas_udf(T.BooleanType())
-def _is_residue(lines: pd.Series) -> pd.Series:
-    return lines.map(is_residue)
-
-
-def _bands(df: DataFrame, *keep: str) -> DataFrame:
-    """One row for each SimHash table: (band, value of its 16 bits)."""
-    band = F.array(*[F.struct(F.lit(b).alias("band"), F.shiftrightunsigned("sim", 16 * b).bitwiseAND(0xFFFF).alias("bits")) for b in range(4)])
-    return df.select(*keep, "sim", F.explode(band).alias("_b")).select(*keep, "sim", "_b.*")
-
-
-def residue_units(units: DataFrame) -> DataFrame:
-    """Distinct units (u) that are trusted residue or reach it through verified near-duplicates."""
-    judged = cut_lineage(units.select("u", _judge("u").alias("j")).select("u", "j.seed", "j.sim"))
-    found = cut_lineage(judged.filter("seed").select("u", "sim"))
-    rest = _bands(judged.filter("NOT seed"), "u")
-    frontier = found
-    while True:
-        probe = _bands(frontier.select(F.col("u").alias("v"), "sim"), "v").withColumnRenamed("sim", "vsim")
-        near = rest.join(checked_broadcast(probe.dropDuplicates(["band", "bits", "v"])), ["band", "bits"]).filter(F.bit_count(F.col("sim").bitwiseXOR(F.col("vsim"))) <= HAMMING)
-        longest = F.greatest(F.length("u"), F.length("v"))
-        near = near.filter(F.levenshtein("u", "v") <= (1 - SIMILAR) * longest).select("u", "sim").dropDuplicates(["u"])
-        new = cut_lineage(near.join(found.select("u"), "u", "left_anti"))
-        if new.isEmpty():
-            return found.select("u")
-        found, frontier = cut_lineage(found.unionByName(new)), new
-
-
-def _unit(line):
-    return F.regexp_replace(F.trim(line), "[0-9]+", "0")
+def _hash(text: str) -> int:
+    import xxhash
+
+    h = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def _record_units(text, title, code) -> list[str]:
+    """Masked units of a record's text and title, without shown code."""
+    shown = {x for c in code or () for x in (c or "").split("\n")}
+    return [_DIGITS.sub("0", u) for line in ((text or "").split("\n") + [title or ""]) if line not in shown for u in units_of(line)]
+
+
+_UNITS = "id long, own array<long>, u array<long>, sim array<long>, kind array<byte>"
+
+
+def _judge(batches):
+    """Per record the hashes of its units, and of the units new to this worker their hash, SimHash and kind."""
+    seen: dict[str, int] = {}
+    for whole in batches:
+        for at in range(0, whole.num_rows, 500):
+            b = whole.slice(at, 500)
+            own, new, texts = [], [], []
+            if len(seen) > STORE:
+                seen = {}
+            for row in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                hs, fresh = [], []
+                for u in _record_units(*row):
+                    h = seen.get(u)
+                    if h is None:
+                        h = seen[u] = _hash(u)
+                        fresh.append(h)
+                        texts.append(u)
+                    hs.append(h)
+                own.append(hs)
+                new.append(fresh)
+            sims, kinds = simhash64(texts).view(np.int64).tolist() if texts else [], [_kind(u) for u in texts]
+            cuts = np.cumsum([0, *map(len, new)]).tolist()
+            parts = lambda xs: [xs[i:j] for i, j in zip(cuts, cuts[1:])]  # noqa: E731, B023
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.list_(t)) for x, t in ((own, pa.int64()), (new, pa.int64()), (parts(sims), pa.int64()), (parts(kinds), pa.int8())))], ["id", "own", "u", "sim", "kind"])
+
+
+def _windows(sims: np.ndarray):
+    """For each table the bits of its window."""
+    for t in range(TABLES):
+        r = np.uint64(64 * t // TABLES)
+        yield ((sims >> r) | (sims << ((np.uint64(64) - r) % np.uint64(64)))) & np.uint64((1 << BITS) - 1)
+
+
+def _meet(frontier):
+    """mapInArrow over (id, u, sim): units that meet a frontier row (v, vsim) in a table and differ in HAMMING bits at most."""
+
+    def run(batches):
+        v, vsim = (np.frombuffer(x, np.int64) for x in frontier.value)
+        vsim = vsim.view(np.uint64)
+        tables = []
+        for w in _windows(vsim):
+            held = np.zeros(1 << BITS, bool)
+            held[w] = True
+            tables.append(held)
+        for b in batches:
+            ids, us, sims = (np.array(b.column(k).to_pylist(), np.int64) for k in range(3))
+            sims = sims.view(np.uint64)
+            hit = np.zeros(len(sims), bool)
+            for held, w in zip(tables, _windows(sims), strict=True):
+                hit |= held[w]
+            ids, us, sims = ids[hit], us[hit], sims[hit]
+            step = max(1, 4_000_000 // max(1, len(v)))
+            for at in range(0, len(us), step):
+                near = np.bitwise_count(sims[at : at + step, None] ^ vsim[None, :]) <= HAMMING
+                k, m = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids[at + k], us[at + k], v[m])], ["id", "u", "v"])
+
+    return run
+
+
+def _texts(wanted):
+    """mapInArrow over records: the text of each wanted unit (hashes)."""
+
+    def run(batches):
+        want = set(wanted.value)
+        for b in batches:
+            rows = {(h, u) for row in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True) for u in _record_units(*row) if (h := _hash(u)) in want}
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["u", "text"])
+
+    return run
+
+
+def _blocks(df: DataFrame, *cols: str):
+    """The rows of a small frontier in blocks of BLOCK rows, as lists."""
+    n = max(1, -(-df.count() // BLOCK))
+    for k in range(n):
+        yield (df if n == 1 else df.filter(F.pmod(F.xxhash64("u"), F.lit(n)) == k)).select(*cols).collect()
+
+
+def spread(docs: DataFrame, units: DataFrame) -> DataFrame:
+    """(u, round) of residue units: seeds in round 0, then those that propagation reaches. docs as for ``residue_records``;
+    units: (id, u, sim, kind), id being a record that holds the unit."""
+    sc = docs.sparkSession.sparkContext
+    found = cut_lineage(units.filter("kind > 0").groupBy("u").agg(F.lit(0).alias("round")))
+    frontier = cut_lineage(units.filter("kind = 1").groupBy("u").agg(F.min("id").alias("id"), F.min("sim").alias("sim")))
+    rest = units.filter("kind = 0").select("id", "u", "sim")
+    rounds = 0
+    while not frontier.isEmpty():
+        rounds += 1
+        near = None
+        for rows in _blocks(frontier, "u", "sim"):
+            shared = sc.broadcast(tuple(np.array([r[k] for r in rows], np.int64).tobytes() for k in range(2)))
+            got = rest.mapInArrow(_meet(shared), "id long, u long, v long")
+            near = got if near is None else near.unionByName(got)
+        near = cut_lineage(near.groupBy("u", "v").agg(F.min("id").alias("id")).join(found.select("u"), "u", "left_anti"))
+        # the texts of both sides, read from records that hold them
+        holders = near.select("id", "u").unionByName(near.select(F.col("v").alias("u")).distinct().join(frontier.select("id", "u"), "u").select("id", "u"))
+        held = docs.join(checked_broadcast(holders.select("id").distinct()), "id", "left_semi").select("id", "text", "title", "code")
+        texts = None
+        for rows in _blocks(holders.select("u").distinct(), "u"):
+            got = held.mapInArrow(_texts(sc.broadcast([r.u for r in rows])), "u long, text string")
+            texts = got if texts is None else texts.unionByName(got)
+        texts = cut_lineage(texts.dropDuplicates(["u"]))
+        pair = near.join(texts.select("u", F.col("text").alias("tu")), "u").join(texts.select(F.col("u").alias("v"), F.col("text").alias("tv")), "v")
+        most = F.greatest(F.length("tu"), F.length("tv"))
+        same = pair.filter((F.least(F.length("tu"), F.length("tv")) >= SPREADS) & (F.levenshtein("tu", "tv") <= (1 - SIMILAR) * most))
+        new = same.groupBy("u").agg(F.min("id").alias("id"))
+        frontier = cut_lineage(new.join(units.groupBy("u").agg(F.min("sim").alias("sim")), "u").select("u", "id", "sim"))
+        found = cut_lineage(found.unionByName(frontier.select("u", F.lit(rounds).alias("round"))))
+    return found
+
+
+def judged_units(docs: DataFrame) -> DataFrame:
+    """_UNITS of docs (id, text, title, code array<string>), as a table."""
+    return cut_lineage(docs.select("id", "text", "title", "code").mapInArrow(_judge, _UNITS))
+
+
+def _flat(judged: DataFrame) -> DataFrame:
+    return judged.select("id", F.explode(F.arrays_zip("u", "sim", "kind")).alias("z")).select("id", "z.u", "z.sim", "z.kind")
 
 
 def residue_records(docs: DataFrame) -> DataFrame:
     """Ids of docs (id, text, title, code array<string>) whose text or title holds residue outside of shown code.
 
     Null or empty text and title hold none; repeated rows give their id once; very long texts are read whole."""
-    code = F.flatten(F.transform(F.coalesce("code", F.array().cast("array<string>")), lambda c: F.split(F.coalesce(c, F.lit("")), "\n")))
-    lines = F.array_union(F.split(F.coalesce("text", F.lit("")), "\n"), F.array(F.coalesce("title", F.lit(""))))
-    rows = docs.select("id", F.array_except(lines, code).alias("lines"))
-    line = rows.select("id", F.explode("lines").alias("line")).filter("trim(line) != ''")
-    short = line.filter(F.length("line") <= MAX_LINE).select("id", _unit(F.col("line")).alias("u"))
-    units = short.select("u").distinct()
-    bad = checked_broadcast(residue_units(units))
-    from_messages = short.join(bad, "u", "left_semi").select("id")
-    from_slots = line.filter((F.length("line") > MAX_LINE) & F.col("line").rlike(_MAYBE)).filter(_is_residue("line")).select("id")
-    return from_messages.unionByName(from_slots).distinct()
+    judged = judged_units(docs)
+    bad = checked_broadcast(spread(docs, _flat(judged)).select("u"))
+    return judged.select("id", F.explode("own").alias("u")).join(bad, "u", "left_semi").select("id").distinct()
 
 
 def _docs(spark, d: str) -> DataFrame:
@@ -188,5 +305,11 @@ def p7_found(spark, d: str) -> DataFrame:
     return residue_records(_docs(spark, d)).withColumnRenamed("id", "extract_id")
 
 
-QUERIES = {"p7_found": p7_found}
+def p7_rounds(spark, d: str) -> DataFrame:
+    """How many distinct units are residue by their own pattern (round 0) and by propagation (each later round)."""
+    docs = _docs(spark, d)
+    return spread(docs, _flat(judged_units(docs))).groupBy("round").agg(F.count_distinct("u").alias("units"))
+
+
+QUERIES = {"p7_found": p7_found, "p7_rounds": p7_rounds}
 ORACLE: dict[str, str] = {}
