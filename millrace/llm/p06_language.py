@@ -196,11 +196,15 @@ class Scorer:
         return s[ends_a] - s[np.concatenate([[0], ends_a[:-1]])] if ends else s[:0], np.array(letters)
 
 
-def _score(model):
+def _score(shared):
     """mapInArrow: per record and line the best and second language, their margin in nats, the letters; code lines are -1."""
 
     def run(batches):
-        scorer = Scorer(model.value)
+        # the broadcast holds plain arrays and a list, so that it can be read where only this function, by value, is known
+        model = Unigrams.__new__(Unigrams)
+        pieces, model.prob, model.other = shared.value
+        model.index = {p: k for k, p in enumerate(pieces)}
+        scorer = Scorer(model)
         # few records at a time: the words of a batch are held as strings while they are scored
         for b in (whole.slice(at, 200) for whole in batches for at in range(0, whole.num_rows, 200)):
             texts = [(t or "").split("\n") for t in b.column(1).to_pylist()]
@@ -228,21 +232,22 @@ def _score(model):
 
 def scored_lines(spark, docs: DataFrame, model: Unigrams) -> DataFrame:
     """docs (id, text, code array<string>) -> (id, lines array<struct<best, second, margin, size>>)."""
-    shared = spark.sparkContext.broadcast(model)  # piece probabilities: vocabulary x languages, fixed size
+    shared = spark.sparkContext.broadcast((list(model.index), model.prob, model.other))  # vocabulary x languages, fixed size
     got = docs.select("id", "text", "code").mapInArrow(_score(shared), "id long, best array<byte>, second array<byte>, margin array<float>, size array<int>")
     return got.select("id", F.arrays_zip("best", "second", "margin", "size").alias("lines"))
 
 
 def assign(lines: DataFrame, body: DataFrame) -> DataFrame:
     """(id, main, conf, lines array<struct<no, lang, conf, size>>): the language most of the main body is written in, by letters of
-    whole lines, and the language of each main-body line except code; languages as positions in LANGS, main null without text."""
+    whole lines, and the language of each main-body line except code; languages as positions in LANGS, main and conf null without
+    letters (null, empty and blank texts, digits only)."""
     j = lines.join(body, "id")
     used = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("no"), x["best"].alias("best"), x["second"].alias("second"), x["margin"].alias("margin"), x["size"].alias("size"), F.coalesce(F.get("body", i), F.lit(False)).alias("in"))), lambda x: x["in"] & (x["best"] >= 0))
     j = j.select("id", used.alias("u"))
     weight = lambda k: F.aggregate("u", F.lit(0.0), lambda a, x: a + F.when(x["best"] == k, x["size"] * F.when(x["size"] >= MIN_LINE, 1.0).otherwise(0.25)).otherwise(0.0))
     per = F.array(*[F.struct(weight(k).alias("w"), F.lit(-k).alias("k")) for k in range(len(LANGS))])
     j = j.select("id", "u", per.alias("per")).withColumn("top", F.array_max("per"))
-    j = j.withColumn("main", F.when(F.col("top.w") > 0, -F.col("top.k"))).withColumn("conf", F.col("top.w") / F.aggregate("per", F.lit(0.0), lambda a, x: a + x["w"]))
+    j = j.withColumn("main", F.when(F.col("top.w") > 0, -F.col("top.k"))).withColumn("conf", F.try_divide(F.col("top.w"), F.aggregate("per", F.lit(0.0), lambda a, x: a + x["w"])))
     sure = lambda m: 1 / (1 + F.exp(-m / 4))
     lang = F.transform("u", lambda x: F.struct(x["no"].alias("no"), F.when((x["second"] == F.col("main")) & (x["margin"] < MARGIN), F.col("main")).otherwise(x["best"].cast("int")).alias("lang"), sure(x["margin"].cast("double")).alias("conf"), x["size"].alias("size")))
     return j.select("id", "main", "conf", lang.alias("lines"))
