@@ -24,22 +24,43 @@ LEAST = 0.1
 SHORT = 10
 
 
-def scores(text: Column) -> dict[str, Column]:
-    """Hits per thousand characters for each language; words are whole tokens."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    tokens = F.regexp_extract_all(t, F.lit(r"([\p{L}\p{N}_]+)"), 1)
-    n = F.length(t)
-    per = lambda hits: F.when(n > 0, hits * 1000 / n).otherwise(F.lit(0.0))
-    hits = lambda alternatives: F.size(F.filter(tokens, lambda w: w.isin(*alternatives.split("|"))))
-    out = {k: per(hits(a) + hits(b)) for k, (a, b) in PATTERNS.items()}
-    return out | {k: per(F.regexp_count(t, F.lit(p))) for k, p in SCRIPTS.items()}
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once however often it occurs there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def scores(text: Column, use) -> Column:
+    """``use`` of the hits per thousand characters of each language, by code; words are whole tokens. The text is split once, and
+    only tokens that are in some list are looked up again."""
+    every = sorted({w for ab in PATTERNS.values() for x in ab for w in x.split("|")})
+
+    def of(b):
+        n = F.length(b["t"])
+        per = lambda hits: F.when(n > 0, hits * 1000 / n).otherwise(F.lit(0.0))
+
+        def hits(first, second):
+            first, second = first.split("|"), second.split("|")
+            total = F.size(F.filter(b["known"], lambda w: w.isin(*dict.fromkeys(first + second))))
+            twice = set(first) & set(second)
+            return total + F.size(F.filter(b["known"], lambda w: w.isin(*twice))) if twice else total
+
+        out = {k: per(hits(*ab)) for k, ab in PATTERNS.items()}
+        return use(out | {k: per(F.regexp_count(b["t"], F.lit(p))) for k, p in SCRIPTS.items()})
+
+    low = F.lower(F.coalesce(text, F.lit("")))
+    known = F.filter(F.regexp_extract_all(low, F.lit(r"([\p{L}\p{N}_]+)"), 1), lambda w: w.isin(*every))
+    return _once(F.struct(low.alias("t"), known.alias("known")), of)
 
 
 def detect(text: Column) -> Column:
     """The best language if its score exceeds LEAST, the first listed on ties; 'en' below SHORT characters or without a match."""
-    ranked = F.array(*[F.struct(c.alias("score"), F.lit(-i).alias("rank"), F.lit(k).alias("lang")) for i, (k, c) in enumerate(scores(text).items())])
-    best = F.array_max(ranked)
-    return F.when(F.length(F.trim(F.coalesce(text, F.lit("")))) < SHORT, F.lit("en")).when(best["score"] > LEAST, best["lang"]).otherwise(F.lit("en"))
+
+    def best(found):
+        ranked = F.array(*[F.struct(c.alias("score"), F.lit(-i).alias("rank"), F.lit(k).alias("lang")) for i, (k, c) in enumerate(found.items())])
+        return F.array_max(ranked)
+
+    top = _once(scores(text, best), lambda m: F.when(m["score"] > LEAST, m["lang"]).otherwise(F.lit("en")))
+    return F.when(F.length(F.trim(F.coalesce(text, F.lit("")))) < SHORT, F.lit("en")).otherwise(top)
 
 
 def lang_patterns(spark, d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
-    "functions.text_metrics", "functions.language", "functions.clean", "functions.entities", "functions.links", "operators.quality", "operators.dedup", "operators.dataset", "operators.ops", "operators.store", "streaming.state",
+    "functions.text_metrics", "functions.language", "functions.clean", "functions.entities", "functions.links", "functions.markup", "functions.metadata", "operators.quality", "operators.dedup", "operators.dataset", "operators.ops", "operators.store", "streaming.state",
 )
 
 
