@@ -2,17 +2,19 @@
 
 Subset-sum budget fitting: documents are counted by exact token length per source. A source's budget is met by whole
 passes over it (up to its repeats), then by an even share of every length, and the budget that remains by bounded-knapsack
-dynamic programming over the lengths left, so that the total comes as near as lengths allow. Which documents of a length
-are drawn follows from a seeded hash.
+dynamic programming over the lengths left. Where that misses the budget, the part left to the knapsack grows, at last to all
+of it with every document's repeats, so that the total is the best that lengths and repeats allow. Which documents of a
+length are drawn follows from a seeded hash.
 
 The size of a plan is the largest at which every source that has documents can supply its share within its repeats.
 
-Scale: only (source, length) counts meet the solver, one bounded task per plan and source: a bitset over the remaining
-budget, which is less than one document of each length. Documents of a length are picked by distributed ranks (p04).
+Scale: only (source, length) counts meet the solver, one task per plan and source: a bitset over the remaining budget and
+one number for each total in it. Documents of a length are picked by distributed ranks (p04).
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,58 +29,72 @@ from .tokens import token_counts
 SEED = 17
 
 
-def fit_budget(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many of each length to take, at most its count, for a total nearest to the budget from below.
+def _reach(lengths: list[int], left: list[int], gap: int) -> tuple[int, list[int]]:
+    """Bounded knapsack: the largest total up to ``gap`` of at most ``left`` of each length, and how many of each it takes.
 
-    An even share of every length first; the rest by dynamic programming over a bitset of reachable totals, items of one
-    length in powers of two. If no exact total is reachable, the largest one below the budget is used."""
-    total = sum(n * c for n, c in zip(lengths, counts, strict=True))
-    if budget >= total:
-        return list(counts)
-    if budget <= 0 or not total:
-        return [0] * len(lengths)
-    take = [c * budget // total for c in counts]
-    gap = budget - sum(n * t for n, t in zip(lengths, take, strict=True))
+    A bitset holds the reachable totals, items of one length in powers of two; of each total only the item that reached it first is
+    kept. What it was added to was reached by earlier items, so going back uses each item once."""
     items: list[tuple[int, int]] = []  # (position, how many at once)
     for k, n in enumerate(lengths):
-        left, step = min(counts[k] - take[k], gap // n if n else 0), 1
-        while left > 0:
-            step = min(step, left)
+        rest, step = min(left[k], gap // n if n else 0), 1
+        while rest > 0:
+            step = min(step, rest)
             items.append((k, step))
-            left -= step
+            rest -= step
             step *= 2
-    mask = (1 << (gap + 1)) - 1
-    reach, grown = 1, []
-    for k, m in items:
+    mask, reach = (1 << (gap + 1)) - 1, 1
+    first = np.full(gap + 1, -1, np.int32)
+    for at, (k, m) in enumerate(items):
         new = (reach | reach << (lengths[k] * m)) & mask
-        grown.append((k, m, reach))
+        fresh = np.frombuffer((new ^ reach).to_bytes(gap // 8 + 1, "little"), np.uint8)
+        first[np.flatnonzero(np.unpackbits(fresh, bitorder="little"))] = at
         reach = new
         if reach >> gap & 1:
             break
-    at = reach.bit_length() - 1
-    for k, m, before in reversed(grown):
-        if not before >> at & 1:  # only reachable with this item
-            take[k] += m
-            at -= lengths[k] * m
-    return take
+    total = at = reach.bit_length() - 1
+    take = [0] * len(lengths)
+    while at > 0:
+        k, m = items[first[at]]
+        take[k] += m
+        at -= lengths[k] * m
+    return total, take
 
 
-#: Shortfall, as a part of the budget, from which documents may be repeated unevenly, up to their limit.
-UNEVEN = 0.001
+def fit_budget(lengths: list[int], counts: list[int], budget: int) -> list[int]:
+    """How many of each length to take, at most its count, for the largest total that does not exceed the budget.
+
+    An even share of every length first, the rest by ``_reach``. Where that falls short, the share is lowered and the rest
+    doubled until the budget is met or the rest is all of it, which is the whole bounded knapsack."""
+    total = sum(n * c for n, c in zip(lengths, counts, strict=True))
+    if budget >= total:
+        return list(counts)
+    if budget <= 0 or not total:
+        return [0] * len(lengths)
+    best, rest = (-1, []), 0
+    while True:
+        share = [c * max(0, budget - rest) // total for c in counts]
+        gap = budget - sum(n * t for n, t in zip(lengths, share, strict=True))
+        got, more = _reach(lengths, [c - t for c, t in zip(counts, share, strict=True)], gap)
+        best = max(best, (budget - gap + got, [t + m for t, m in zip(share, more, strict=True)]), key=lambda x: x[0])
+        if best[0] == budget or gap == budget:
+            return best[1]
+        rest = max(2 * gap, 1)
 
 
 def _solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Whole passes over the source and a fit of the rest; where that misses the budget, documents are repeated unevenly, each at
+    most ``max_repeats`` times, by a fit from nothing."""
     pdf = pdf.sort_values("n_tokens")
     lengths, counts = [int(x) for x in pdf.n_tokens], [int(x) for x in pdf.n]
-    whole = sum(n * c for n, c in zip(lengths, counts, strict=True))
+    size = lambda xs: sum(n * x for n, x in zip(lengths, xs, strict=True))
+    whole = size(counts)
     budget, repeats = int(pdf.budget.iloc[0]), int(pdf.max_repeats.iloc[0])
     passes = min(repeats, budget // whole) if whole else 0
     more = fit_budget(lengths, counts, budget - passes * whole) if passes < repeats else [0] * len(lengths)
-    spent = passes * whole + sum(n * m for n, m in zip(lengths, more, strict=True))
-    if budget - spent > UNEVEN * budget and repeats - passes > 1:
-        more = max(more, fit_budget(lengths, [c * (repeats - passes) for c in counts], budget - passes * whole), key=lambda x: sum(n * m for n, m in zip(lengths, x, strict=True)))
-    each = [m // c for m, c in zip(more, counts, strict=True)]
-    return pd.DataFrame({"plan_id": key[0], "source": key[1], "n_tokens": lengths, "passes": [passes + e for e in each], "more": [m - e * c for m, e, c in zip(more, each, counts, strict=True)]})
+    uses = [passes * c + m for c, m in zip(counts, more, strict=True)]
+    if size(uses) < budget and repeats > 1:
+        uses = max(uses, fit_budget(lengths, [c * repeats for c in counts], budget), key=size)
+    return pd.DataFrame({"plan_id": key[0], "source": key[1], "n_tokens": lengths, "passes": [u // c for u, c in zip(uses, counts, strict=True)], "more": [u % c for u, c in zip(uses, counts, strict=True)]})
 
 
 def draw(docs: DataFrame, targets: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
