@@ -81,7 +81,10 @@ MESSAGES = (
 _SLOT = re.compile(SLOT)
 _SPEAKS = re.compile(SPEAKS, re.I)
 _CODE = re.compile(CODE)
-_MESSAGE = re.compile("|".join(f"(?:{m})" for m in MESSAGES), re.I)
+#: Asked of lower-case text, which lets most alternatives fail at their first character.
+_MESSAGE = re.compile("|".join(f"(?:{m})" for m in MESSAGES))
+_LONG_LATIN = frozenset(w for w in LATIN if len(w) > 4)
+_WORDS = re.compile(r"[^\W\d_]+")
 def _unfilled(line: str) -> bool:
     """A slot in a sentence that does not speak of slots."""
     if _CODE.search(line) and not _SLOT.match(line.strip()):
@@ -92,23 +95,24 @@ def _unfilled(line: str) -> bool:
 
 def _filler(line: str) -> bool:
     """At least four words, three fifths of them filler Latin, and two of its long words."""
-    w = re.findall(r"[^\W\d_]+", line.lower())
-    n = sum(x in LATIN for x in w)
-    return len(w) >= 4 and n >= 0.6 * len(w) and sum(len(x) > 4 and x in LATIN for x in w) >= 2
+    w = _WORDS.findall(line.lower())
+    if len(w) < 4 or _LONG_LATIN.isdisjoint(w):
+        return False
+    return sum(x in LATIN for x in w) >= 0.6 * len(w) and sum(x in _LONG_LATIN for x in w) >= 2
 
 
-_SLOT_SIGNS = ("{", "%", "[", "@@", "__", "<", "TODO", "FIXME", "TBD", "XXX")
+_SLOT_SIGNS = re.compile(r"[{%\[<]|@@|__|TODO|FIXME|TBD|XXX")
 _SENTENCE = re.compile(r"(?<=[.!?।])\s+|(?<=[。！？])")
 _DIGITS = re.compile(r"\d+")
 
 
 def _kind(s: str) -> int:
-    """Of a trimmed unit: 1 a message, 2 an unfilled slot or filler, 0 none of these."""
-    if any(x in s for x in _SLOT_SIGNS) and _SLOT.search(s) and _unfilled(s):
+    """Of a trimmed unit with digits masked: 1 a message, 2 an unfilled slot or filler, 0 none of these."""
+    if _SLOT_SIGNS.search(s) and _SLOT.search(s) and _unfilled(s):
         return 2
     if _filler(s):
         return 2
-    return int(len(s) <= MAX_LINE and bool(_MESSAGE.fullmatch(_DIGITS.sub("0", s))))
+    return int(len(s) <= MAX_LINE and bool(_MESSAGE.fullmatch(s.lower())))
 
 
 def units_of(line: str) -> list[str]:
@@ -119,7 +123,7 @@ def units_of(line: str) -> list[str]:
 
 def is_residue(line: str) -> bool:
     """The trusted test of one line."""
-    return any(_kind(u) for u in units_of(line))
+    return any(_kind(_DIGITS.sub("0", u)) for u in units_of(line))
 
 
 #: The bits of a byte in the bytes of a 64-bit number, so that up to 255 bytes are counted by bit in one sum.
@@ -164,7 +168,7 @@ def _record_units(text, title, code) -> list[str]:
     return [_DIGITS.sub("0", u) for line in ((text or "").split("\n") + [title or ""]) if line not in shown for u in units_of(line)]
 
 
-_UNITS = "id long, own array<long>, u array<long>, sim array<long>, kind array<byte>"
+_UNITS = "id long, own array<long>, u array<long>, sim array<long>, kind array<byte>, size array<int>"
 
 
 def _judge(batches):
@@ -190,7 +194,7 @@ def _judge(batches):
             sims, kinds = simhash64(texts).view(np.int64).tolist() if texts else [], [_kind(u) for u in texts]
             cuts = np.cumsum([0, *map(len, new)]).tolist()
             parts = lambda xs: [xs[i:j] for i, j in zip(cuts, cuts[1:])]  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.list_(t)) for x, t in ((own, pa.int64()), (new, pa.int64()), (parts(sims), pa.int64()), (parts(kinds), pa.int8())))], ["id", "own", "u", "sim", "kind"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.list_(t)) for x, t in ((own, pa.int64()), (new, pa.int64()), (parts(sims), pa.int64()), (parts(kinds), pa.int8()), (parts([len(u) for u in texts]), pa.int32())))], ["id", "own", "u", "sim", "kind", "size"])
 
 
 def _windows(sims: np.ndarray):
@@ -201,10 +205,11 @@ def _windows(sims: np.ndarray):
 
 
 def _meet(frontier):
-    """mapInArrow over (id, u, sim): units that meet a frontier row (v, vsim) in a table and differ in HAMMING bits at most."""
+    """mapInArrow over (id, u, sim, size): units that meet a frontier row (v, vsim, vsize) in a table, differ in HAMMING bits at most
+    and are long enough for similar texts."""
 
     def run(batches):
-        v, vsim = (np.frombuffer(x, np.int64) for x in frontier.value)
+        v, vsim, vsize = (np.frombuffer(x, np.int64) for x in frontier.value)
         vsim = vsim.view(np.uint64)
         tables = []
         for w in _windows(vsim):
@@ -212,16 +217,19 @@ def _meet(frontier):
             held[w] = True
             tables.append(held)
         for b in batches:
-            ids, us, sims = (np.array(b.column(k).to_pylist(), np.int64) for k in range(3))
+            ids, us, sims, sizes = (b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4))
             sims = sims.view(np.uint64)
             hit = np.zeros(len(sims), bool)
             for held, w in zip(tables, _windows(sims), strict=True):
                 hit |= held[w]
-            ids, us, sims = ids[hit], us[hit], sims[hit]
+            ids, us, sims, sizes = ids[hit], us[hit], sims[hit], sizes[hit]
             step = max(1, 4_000_000 // max(1, len(v)))
             for at in range(0, len(us), step):
                 near = np.bitwise_count(sims[at : at + step, None] ^ vsim[None, :]) <= HAMMING
                 k, m = np.nonzero(near)
+                a, c = sizes[at + k], vsize[m]
+                fits = np.minimum(a, c) >= SIMILAR * np.maximum(a, c)
+                k, m = k[fits], m[fits]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids[at + k], us[at + k], v[m])], ["id", "u", "v"])
 
     return run
@@ -239,26 +247,28 @@ def _texts(wanted):
     return run
 
 
-def _blocks(df: DataFrame, *cols: str):
-    """The rows of a small frontier in blocks of BLOCK rows, as lists."""
-    n = max(1, -(-df.count() // BLOCK))
+def _blocks(df: DataFrame, size: int, *cols: str):
+    """The rows of a frontier in blocks of about ``size`` rows, as lists."""
+    df = cut_lineage(df)
+    n = max(1, -(-df.count() // size))
     for k in range(n):
         yield (df if n == 1 else df.filter(F.pmod(F.xxhash64("u"), F.lit(n)) == k)).select(*cols).collect()
 
 
 def spread(docs: DataFrame, units: DataFrame) -> DataFrame:
     """(u, round) of residue units: seeds in round 0, then those that propagation reaches. docs as for ``residue_records``;
-    units: (id, u, sim, kind), id being a record that holds the unit."""
+    units: (id, u, sim, kind, size), id being a record that holds the unit."""
     sc = docs.sparkSession.sparkContext
+    long = F.col("size") >= SPREADS
     found = cut_lineage(units.filter("kind > 0").groupBy("u").agg(F.lit(0).alias("round")))
-    frontier = cut_lineage(units.filter("kind = 1").groupBy("u").agg(F.min("id").alias("id"), F.min("sim").alias("sim")))
-    rest = units.filter("kind = 0").select("id", "u", "sim")
+    frontier = cut_lineage(units.filter((F.col("kind") == 1) & long).groupBy("u").agg(F.min("id").alias("id"), F.min("sim").alias("sim"), F.min("size").alias("size")))
+    rest = units.filter((F.col("kind") == 0) & long).select("id", "u", "sim", "size")
     rounds = 0
     while not frontier.isEmpty():
         rounds += 1
         near = None
-        for rows in _blocks(frontier, "u", "sim"):
-            shared = sc.broadcast(tuple(np.array([r[k] for r in rows], np.int64).tobytes() for k in range(2)))
+        for rows in _blocks(frontier, BLOCK, "u", "sim", "size"):
+            shared = sc.broadcast(tuple(np.array([r[k] for r in rows], np.int64).tobytes() for k in range(3)))
             got = rest.mapInArrow(_meet(shared), "id long, u long, v long")
             near = got if near is None else near.unionByName(got)
         near = cut_lineage(near.groupBy("u", "v").agg(F.min("id").alias("id")).join(found.select("u"), "u", "left_anti"))
@@ -266,15 +276,15 @@ def spread(docs: DataFrame, units: DataFrame) -> DataFrame:
         holders = near.select("id", "u").unionByName(near.select(F.col("v").alias("u")).distinct().join(frontier.select("id", "u"), "u").select("id", "u"))
         held = docs.join(checked_broadcast(holders.select("id").distinct()), "id", "left_semi").select("id", "text", "title", "code")
         texts = None
-        for rows in _blocks(holders.select("u").distinct(), "u"):
+        for rows in _blocks(holders.select("u").distinct(), 20 * BLOCK, "u"):
             got = held.mapInArrow(_texts(sc.broadcast([r.u for r in rows])), "u long, text string")
             texts = got if texts is None else texts.unionByName(got)
         texts = cut_lineage(texts.dropDuplicates(["u"]))
         pair = near.join(texts.select("u", F.col("text").alias("tu")), "u").join(texts.select(F.col("u").alias("v"), F.col("text").alias("tv")), "v")
         most = F.greatest(F.length("tu"), F.length("tv"))
-        same = pair.filter((F.least(F.length("tu"), F.length("tv")) >= SPREADS) & (F.levenshtein("tu", "tv") <= (1 - SIMILAR) * most))
+        same = pair.filter(F.levenshtein("tu", "tv") <= (1 - SIMILAR) * most)
         new = same.groupBy("u").agg(F.min("id").alias("id"))
-        frontier = cut_lineage(new.join(units.groupBy("u").agg(F.min("sim").alias("sim")), "u").select("u", "id", "sim"))
+        frontier = cut_lineage(new.join(units.groupBy("u").agg(F.min("sim").alias("sim"), F.min("size").alias("size")), "u").select("u", "id", "sim", "size"))
         found = cut_lineage(found.unionByName(frontier.select("u", F.lit(rounds).alias("round"))))
     return found
 
@@ -285,7 +295,7 @@ def judged_units(docs: DataFrame) -> DataFrame:
 
 
 def _flat(judged: DataFrame) -> DataFrame:
-    return judged.select("id", F.explode(F.arrays_zip("u", "sim", "kind")).alias("z")).select("id", "z.u", "z.sim", "z.kind")
+    return judged.select("id", F.explode(F.arrays_zip("u", "sim", "kind", "size")).alias("z")).select("id", "z.u", "z.sim", "z.kind", "z.size")
 
 
 def residue_records(docs: DataFrame) -> DataFrame:
