@@ -185,33 +185,60 @@ def _hash(text: str) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+#: Distinct blocks and lines whose hashes a worker keeps; beyond, it starts a new store (a cache only).
+STORE = 200_000
+
+
+class _Hashes:
+    """Hashes of texts (exact, digits masked, template), worked out once for each distinct text, as most boilerplate comes again."""
+
+    def __init__(self):
+        self.known: dict[str, tuple[int, int, int]] = {}
+
+    def __call__(self, text: str) -> tuple[int, int, int]:
+        got = self.known.get(text)
+        if got is None:
+            if len(self.known) > STORE:
+                self.known = {}
+            got = self.known[text] = (_hash(text), _hash(_DIGITS.sub("0", text.lower())), _hash(template(text)))
+        return got
+
+
 def _parse_pages(batches):
+    of, names = _Hashes(), {}
+
+    def name(text):
+        if text not in names:
+            names[text] = _hash(text)
+        return names[text]
+
     for b in batches:
         ids, sites, types, bodies = (c for c in b.columns)
         rows: dict[str, list] = {k: [] for k in ("keys", "branches", "lens", "links", "hs", "ms", "ts")}
         for body, kind in zip(bodies, types.to_pylist(), strict=True):
             got = page_blocks(decode(body.as_py() or b"", kind))
-            rows["keys"].append([_hash(f"{x[0]}|{x[1]}|{x[2]}") for x in got])
-            rows["branches"].append([_hash(x[0]) for x in got])
+            rows["keys"].append([name(f"{x[0]}|{x[1]}|{x[2]}") for x in got])
+            rows["branches"].append([name(x[0]) for x in got])
             rows["lens"].append([len(x[3]) for x in got])
             rows["links"].append([x[2] for x in got])
-            rows["hs"].append([_hash(x[3]) for x in got])
-            rows["ms"].append([_hash(_DIGITS.sub("0", x[3].lower())) for x in got])
-            rows["ts"].append([_hash(template(x[3])) for x in got])
+            for k, values in zip(("hs", "ms", "ts"), zip(*(of(x[3]) for x in got), strict=True) if got else ((), (), ()), strict=True):
+                rows[k].append(list(values))
         yield pa.RecordBatch.from_arrays([ids, sites, *(pa.array(rows[k], pa.list_({"links": pa.bool_(), "lens": pa.int32()}.get(k, pa.int64()))) for k in rows)], ["request_id", "site", *rows])
 
 
 def _parse_texts(batches):
     """Per record its lines as hashes; a blank line has hash 0. ``shape``: length with the sign of a final mark; title lines 0."""
     mark = re.compile(r"[.!?。！？।؟…:;»”\"')\]）」]\s*$")
+    of = _Hashes()
     for b in batches:
         ids, reqs, titles, texts = b.columns
         hs, ts, shape = [], [], []
         for text, title in zip(texts.to_pylist(), titles.to_pylist(), strict=True):
             ls = [" ".join(x.split()) for x in (text or "").split("\n")]
             name = " ".join((title or "").split())
-            hs.append([_hash(x) if x else 0 for x in ls])
-            ts.append([_hash(template(x)) if x else 0 for x in ls])
+            both = [of(x) if x else (0, 0, 0) for x in ls]
+            hs.append([x[0] for x in both])
+            ts.append([x[2] for x in both])
             shape.append([0 if x and x == name else len(x) if mark.search(x) else -len(x) for x in ls])
         yield pa.RecordBatch.from_arrays([ids, reqs, pa.array(hs, pa.list_(pa.int64())), pa.array(ts, pa.list_(pa.int64())), pa.array(shape, pa.list_(pa.int32()))], ["id", "request_id", "hs", "ts", "shape"])
 
