@@ -407,11 +407,12 @@ def _html(spark, d):
     return table(spark, d, "crawl_results").select("request_id", "ts", html_text(F.col("content")).alias("html"))
 
 
-_NOW = F.lit("2026-01-01").cast("timestamp_ntz")
+def _now() -> Column:
+    return F.lit("2026-01-01").cast("timestamp_ntz")
 
 
 def page_metadata(spark, d):
-    return page_record(page_metadata_parts(_pages(spark, d)), _NOW)
+    return page_record(page_metadata_parts(_pages(spark, d)), _now())
 
 
 def page_authors(spark, d):
@@ -422,7 +423,7 @@ def page_authors(spark, d):
 
 def page_dates(spark, d):
     """All plausible dates of each page, ranked."""
-    t = page_metadata_parts(_pages(spark, d)).select("request_id", "ts", F.posexplode(ranked_dates(F.col("dates"), _NOW)).alias("rank", "x"))
+    t = page_metadata_parts(_pages(spark, d)).select("request_id", "ts", F.posexplode(ranked_dates(F.col("dates"), _now())).alias("rank", "x"))
     return t.select("request_id", "ts", "rank", "x.*")
 
 

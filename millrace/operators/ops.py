@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,29 +88,29 @@ def replay_breaker(events: DataFrame) -> DataFrame:
 
     closed: failures add up, a success takes one off, at the limit it opens; open: after the pause the next event finds it half
     open; half open: three successes close it, a failure opens it again. One key's events are a fold and so one group."""
+    from millrace.operators.health import fold_by_key
+
     limit, pause, need = BREAKER["failures"], BREAKER["open_s"], BREAKER["successes"]
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts_s", "seq"])
-        state, failures, good, since, out = "closed", 0, 0, 0.0, []
-        for ts, ok in zip(pdf.ts_s, pdf.ok, strict=True):
-            if state == "open" and ts - since >= pause:
-                state, good = "half_open", 0
-            if state == "closed":
-                failures = max(0, failures - 1) if ok else failures + 1
-                if failures >= limit:
-                    state, since = "open", ts
-            elif state == "half_open":
-                if ok:
-                    good += 1
-                    if good >= need:
-                        state, failures = "closed", 0
-                else:
-                    state, since = "open", ts
-            out.append(state)
-        return pd.DataFrame({"key": pdf.key, "seq": pdf.seq, "state": out})
-
-    return events.groupBy("key").applyInPandas(fold, "key long, seq long, state string")
+    def step(s, r):
+        state, failures, good, since = s
+        ts = r["ts_s"]
+        if state == "open" and ts - since >= pause:
+            state, good = "half_open", 0
+        if state == "closed":
+            failures = max(0, failures - 1) if r["ok"] else failures + 1
+            if failures >= limit:
+                state, since = "open", ts
+        elif state == "half_open":
+            if r["ok"]:
+                good += 1
+                if good >= need:
+                    state, failures = "closed", 0
+            else:
+                state, since = "open", ts
+        return (state, failures, good, since), {"state": state}
+
+    return fold_by_key(events, lambda: ("closed", 0, 0, 0.0), step, "state string")
 
 
 def breaker_replay(spark, d):

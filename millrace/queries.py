@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
-    "functions.text_metrics", "functions.language", "functions.clean", "functions.entities", "functions.links", "functions.facts", "functions.markup", "functions.metadata", "operators.quality", "operators.confidence", "operators.dedup", "operators.similar", "operators.dataset", "operators.ops", "operators.store", "streaming.state",
+    "functions.text_metrics", "functions.language", "functions.clean", "functions.entities", "functions.links", "functions.facts", "functions.markup", "functions.metadata", "operators.quality", "operators.confidence", "operators.dedup", "operators.similar", "operators.dataset", "operators.ops", "operators.health", "operators.store", "operators.tiers", "operators.build", "streaming.state",
 )
 
 
