@@ -1,7 +1,7 @@
 """Problem 1: the main body of a page without the boilerplate around and inside it.
 
-Site style tree: the pages of one host are merged by presentation (which element a text block sits in, what kind of
-branch holds that element, whether all of it is a link). A node's importance is one minus the mean entropy of its
+Site style tree: the pages of one host are merged node by node. A node is the path of branches from the body to a text block,
+the kind of branch that holds it, the element it sits in and whether most of it is a link. A node's importance is one minus the mean entropy of its
 content features over the pages that have the node: lines that stand on every page have entropy 1, lines of one page 0.
 Nodes of few pages are smoothed by the same presentation on all hosts. A block that is at least half link text has no importance of
 its own. Blocks of nodes below THRESHOLD are removed; what remains is the main body.
@@ -65,7 +65,7 @@ def decode(content: bytes, content_type: str | None) -> str:
 
 
 def page_blocks(page: str) -> list[tuple[str, str, bool, str]]:
-    """(branch, leaf, at least half of it a link, text) of each text block of a page in order."""
+    """(path of branches from the body, nearest branch, leaf, at least half of it a link, text) of each text block of a page in order."""
     page = _DROP.sub(" ", page)
     # an open element: [tag, parent index, has block children, has h1, has paragraphs]
     nodes: list[list] = [["body", -1, False, False, False]]
@@ -165,7 +165,13 @@ def page_blocks(page: str) -> list[tuple[str, str, bool, str]]:
         while branch > 0 and nodes[branch][0] in TEXTUAL:
             branch = nodes[branch][1]
         b = nodes[branch] if branch >= 0 else nodes[0]
-        blocks.append((b[0] + ("+h1" if b[3] else "") + ("+p" if b[4] else ""), leaf, link, text))
+        form = b[0] + ("+h1" if b[3] else "") + ("+p" if b[4] else "")
+        path, up = [], b[1]
+        while up > 0:  # the branches above, from the body
+            if nodes[up][0] not in TEXTUAL:
+                path.append(nodes[up][0])
+            up = nodes[up][1]
+        blocks.append(("/".join([*reversed(path), form]), form, leaf, link, text))
     return blocks
 
 
@@ -214,14 +220,15 @@ def _parse_pages(batches):
 
     for b in batches:
         ids, sites, types, bodies = (c for c in b.columns)
-        rows: dict[str, list] = {k: [] for k in ("keys", "branches", "lens", "links", "hs", "ms", "ts")}
+        rows: dict[str, list] = {k: [] for k in ("keys", "forms", "branches", "lens", "links", "hs", "ms", "ts")}
         for body, kind in zip(bodies, types.to_pylist(), strict=True):
             got = page_blocks(decode(body.as_py() or b"", kind))
-            rows["keys"].append([name(f"{x[0]}|{x[1]}|{x[2]}") for x in got])
+            rows["keys"].append([name(f"{x[0]}|{x[2]}|{x[3]}") for x in got])
+            rows["forms"].append([name(f"{x[1]}|{x[2]}|{x[3]}") for x in got])
             rows["branches"].append([name(x[0]) for x in got])
-            rows["lens"].append([len(x[3]) for x in got])
-            rows["links"].append([x[2] for x in got])
-            for k, values in zip(("hs", "ms", "ts"), zip(*(of(x[3]) for x in got), strict=True) if got else ((), (), ()), strict=True):
+            rows["lens"].append([len(x[4]) for x in got])
+            rows["links"].append([x[3] for x in got])
+            for k, values in zip(("hs", "ms", "ts"), zip(*(of(x[4]) for x in got), strict=True) if got else ((), (), ()), strict=True):
                 rows[k].append(list(values))
         yield pa.RecordBatch.from_arrays([ids, sites, *(pa.array(rows[k], pa.list_({"links": pa.bool_(), "lens": pa.int32()}.get(k, pa.int64()))) for k in rows)], ["request_id", "site", *rows])
 
@@ -246,15 +253,15 @@ def _parse_texts(batches):
 def style_importance(pages: DataFrame) -> DataFrame:
     """(site, key, imp): importance of each node of each host's style tree, 0 in branches that go as a whole.
 
-    ``pages``: site, keys, branches, lens, links, ms (one item per block)."""
-    pair = pages.select("site", F.explode(F.array_distinct(F.arrays_zip(F.col("keys").alias("key"), F.col("ms").alias("m")))).alias("z")).groupBy("site", "z.key", "z.m").agg(F.count(F.lit(1)).alias("k"))
+    ``pages``: site, keys (nodes), forms (their presentation), branches, lens, links, ms (one item per block)."""
+    pair = pages.select("site", F.explode(F.array_distinct(F.arrays_zip(F.col("keys").alias("key"), F.col("forms").alias("form"), F.col("ms").alias("m")))).alias("z")).groupBy("site", "z.key", "z.form", "z.m").agg(F.count(F.lit(1)).alias("k"))
     have = pages.select("site", F.explode(F.array_distinct("keys")).alias("key")).groupBy("site", "key").agg(F.count(F.lit(1)).alias("pages"))
-    node = pair.groupBy("site", "key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log(F.col("k").cast("double"))).alias("klogk")).join(have, ["site", "key"])
+    node = pair.groupBy("site", "key", "form").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log(F.col("k").cast("double"))).alias("klogk")).join(have, ["site", "key"])
     node = node.withColumn("ent", F.when(F.col("pages") > 1, F.col("klogk") / F.log(F.col("pages").cast("double"))).otherwise(F.lit(0.0))).withColumn("w", F.when(F.col("pages") > 1, F.col("n")).otherwise(F.lit(0)))
-    node = cut_lineage(node.select("site", "key", "ent", "w", "pages"))
+    node = cut_lineage(node.select("site", "key", "form", "ent", "w", "pages"))
     # the same presentation on all hosts with enough pages to tell
-    pool = node.filter("pages >= 8").groupBy("key").agg((F.sum("ent") / F.sum("w")).alias("prior"))
-    own = node.join(pool, "key", "left").select("site", "key", (1 - (F.col("ent") + PRIOR * F.coalesce("prior", F.lit(0.4))) / (F.col("w") + PRIOR)).alias("imp"))
+    pool = node.filter("pages >= 8").groupBy("form").agg((F.sum("ent") / F.sum("w")).alias("prior"))
+    own = node.join(pool, "form", "left").select("site", "key", (1 - (F.col("ent") + PRIOR * F.coalesce("prior", F.lit(0.4))) / (F.col("w") + PRIOR)).alias("imp"))
     # composite importance of a branch: that of its leaves by their text, links counting nothing
     mass = pages.select("site", F.explode(F.arrays_zip("keys", "branches", "links", "lens")).alias("z")).groupBy("site", F.col("z.keys").alias("key"), F.col("z.branches").alias("branch"), F.col("z.links").alias("link")).agg(F.sum("z.lens").alias("mass"))
     leaf = mass.join(own, ["site", "key"]).withColumn("imp", F.when(F.col("link"), F.lit(0.0)).otherwise(F.col("imp")))
@@ -310,11 +317,15 @@ def body_lines(crawl: DataFrame, extracted: DataFrame) -> DataFrame:
     records without a page and repeated rows are allowed; a null text has one blank line."""
     ok = crawl.filter(F.col("content").isNotNull() & (F.length("content") > 0) & F.col("status_code").between(200, 299))
     raw = ok.select("request_id", site_of(F.coalesce("final_url", "url")).alias("site"), "content_type", "content")
-    pages = cut_lineage(raw.mapInArrow(_parse_pages, "request_id string, site string, keys array<long>, branches array<long>, lens array<int>, links array<boolean>, hs array<long>, ms array<long>, ts array<long>"))
+    pages = cut_lineage(raw.mapInArrow(_parse_pages, "request_id string, site string, keys array<long>, forms array<long>, branches array<long>, lens array<int>, links array<boolean>, hs array<long>, ms array<long>, ts array<long>"))
+    # one delivery of each page, so that a page sent again does not make its lines look shared; ids are stable as pages are a checkpoint
+    pages = pages.withColumn("uid", F.monotonically_increasing_id())
+    chosen = pages.groupBy("request_id").agg(F.max(F.struct(F.size("hs").alias("n"), "uid")).alias("z")).select(F.col("z.uid").alias("uid"))
+    pages = pages.join(checked_broadcast(cut_lineage(chosen)), "uid", "left_semi").drop("uid")
     judged = cut_lineage(judged_pages(pages))
     templates = judged.select(F.explode(F.arrays_zip("ts", "keep")).alias("z")).groupBy(F.col("z.ts").alias("t")).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("z.keep").cast("double")).alias("share"))
     telling = templates.filter((F.col("n") >= SEEN) & ((F.col("share") <= 1 - SURE) | (F.col("share") >= SURE))).select("t", (F.col("share") >= SURE).alias("keep"))
-    best = judged.groupBy("request_id").agg(F.max(F.struct(F.size("hs").alias("n"), F.col("hs").alias("ph"), "keep")).alias("z")).select("request_id", "z.ph", "z.keep")
+    best = judged.select("request_id", F.col("hs").alias("ph"), "keep")
     lines = extracted.select("id", "request_id", "title", "text").mapInArrow(_parse_texts, "id long, request_id string, hs array<long>, ts array<long>, shape array<int>")
     joined = cut_lineage(lines.join(best, "request_id", "left"))
     lost = joined.select("id", F.posexplode(F.zip_with("hs", "ts", lambda h, t: F.when((h != 0) & ~F.coalesce(F.array_contains("ph", h), F.lit(False)), t)))).filter("col IS NOT NULL").select("id", "pos", F.col("col").alias("t"))

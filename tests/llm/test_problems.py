@@ -52,8 +52,10 @@ def test_main_body_follows_the_site_style(spark):
 
 def test_blocks_of_broken_markup():
     got = page_blocks("<body><p>one<p>two <a>link</a> x<ul><li><a>only</a><li>plain</ul><script>var a='<p>no</p>'</script><div>tail")
-    assert [(b[1], b[2], b[3]) for b in got] == [("p", False, "one"), ("p", False, "two link x"), ("li", True, "only"), ("li", False, "plain"), ("div", False, "tail")]
+    assert [(b[2], b[3], b[4]) for b in got] == [("p", False, "one"), ("p", False, "two link x"), ("li", True, "only"), ("li", False, "plain"), ("div", False, "tail")]
     assert page_blocks("") == []
+    nested = page_blocks("<body><main><div><h1>t</h1><p>x</p></div></main><div><p>y</p></div></body>")
+    assert [b[0] for b in nested] == ["main/div+h1+p", "main/div+h1+p", "div+p"]
 
 
 def test_near_duplicates_equal_brute_force(spark):
