@@ -18,7 +18,7 @@ BOILERPLATE = (
 LIST_ITEM, NUMBERED, HEADER, QUOTE = r"^[-•*]\s+(.+)$", r"^\d+\.\s+(.+)$", r"^#{1,6}\s+(.+)$", r"^>\s+(.+)$"
 # Markup and statements that must not reach a store.
 THREATS = (r"<script[^>]*>.*?</script>", r"javascript:", r"on\w+\s*=", r"<iframe[^>]*>", r"\b(?:SELECT|INSERT|UPDATE|DELETE|DROP|UNION|CREATE|ALTER)\b\s+\w+\s+(?:FROM|INTO|TABLE|SET)\b", r"\bOR\b\s*\d+\s*=\s*\d+", r"\bAND\b\s*\d+\s*=\s*\d+")
-RESERVED = "con prn aux nul com1 com2 com3 com4 com5 com6 com7 com8 com9 lpt1 lpt2 lpt3 lpt4 lpt5 lpt6 lpt7 lpt8 lpt9".split()
+RESERVED = ("con", "prn", "aux", "nul", "com1", "com2", "com3", "com4", "com5", "com6", "com7", "com8", "com9", "lpt1", "lpt2", "lpt3", "lpt4", "lpt5", "lpt6", "lpt7", "lpt8", "lpt9")
 
 
 def drop_boilerplate(text: Column) -> Column:

@@ -48,10 +48,10 @@ ABBREVIATIONS = {
 }
 # Words of each domain.
 KEYWORDS = {
-    "medical": "patient diagnosis treatment therapy clinical medical disease syndrome disorder symptom procedure surgery medication drug dosage prescription pharmaceutical hospital clinic doctor physician nurse healthcare anatomy physiology pathology radiology oncology cardiology neurology pediatrics geriatrics psychiatry",
-    "legal": "court judge jury trial case lawsuit litigation plaintiff defendant attorney lawyer counsel barrister statute regulation law legal judicial jurisdiction appeal motion brief ruling verdict judgment sentence contract agreement liability damages injunction precedent constitutional federal state municipal civil criminal",
-    "ecommerce": "product price buy purchase order cart checkout shipping delivery return warranty guarantee review rating star customer seller brand model size color style material weight dimension specification inventory stock available sale discount offer",
-    "technical": "code function class method variable parameter api endpoint request response json xml http library framework dependency package module import version release update patch build deploy test performance benchmark optimization scalability latency documentation tutorial example guide reference manual",
+    "medical": ("patient", "diagnosis", "treatment", "therapy", "clinical", "medical", "disease", "syndrome", "disorder", "symptom", "procedure", "surgery", "medication", "drug", "dosage", "prescription", "pharmaceutical", "hospital", "clinic", "doctor", "physician", "nurse", "healthcare", "anatomy", "physiology", "pathology", "radiology", "oncology", "cardiology", "neurology", "pediatrics", "geriatrics", "psychiatry"),
+    "legal": ("court", "judge", "jury", "trial", "case", "lawsuit", "litigation", "plaintiff", "defendant", "attorney", "lawyer", "counsel", "barrister", "statute", "regulation", "law", "legal", "judicial", "jurisdiction", "appeal", "motion", "brief", "ruling", "verdict", "judgment", "sentence", "contract", "agreement", "liability", "damages", "injunction", "precedent", "constitutional", "federal", "state", "municipal", "civil", "criminal"),
+    "ecommerce": ("product", "price", "buy", "purchase", "order", "cart", "checkout", "shipping", "delivery", "return", "warranty", "guarantee", "review", "rating", "star", "customer", "seller", "brand", "model", "size", "color", "style", "material", "weight", "dimension", "specification", "inventory", "stock", "available", "sale", "discount", "offer"),
+    "technical": ("code", "function", "class", "method", "variable", "parameter", "api", "endpoint", "request", "response", "json", "xml", "http", "library", "framework", "dependency", "package", "module", "import", "version", "release", "update", "patch", "build", "deploy", "test", "performance", "benchmark", "optimization", "scalability", "latency", "documentation", "tutorial", "example", "guide", "reference", "manual"),
 }
 # Signs of a jurisdiction, of stock, and parts of a technology stack.
 JURISDICTION = {"federal": ("federal court", "u.s. district", "united states", "supreme court"), "state": ("state court", "california", "new york", "texas", "florida"), "local": ("municipal", "county", "district court")}
@@ -87,7 +87,7 @@ def domain_by_keywords(text: Column) -> Column:
     """The domain of which the largest share of keywords occurs, scaled by length; 'general' below 0.3."""
     low = F.lower(F.coalesce(text, F.lit("")))
     n = F.size(F.filter(F.split(low, r"\s+"), lambda w: w != ""))
-    score = lambda ws: sum((low.contains(w).cast("int") for w in ws.split()), F.lit(0)) / len(ws.split()) * F.least(F.lit(1.0), n / 1000)
+    score = lambda ws: sum((low.contains(w).cast("int") for w in ws), F.lit(0)) / len(ws) * F.least(F.lit(1.0), n / 1000)
     best = F.array_max(F.array(*[F.struct(score(ws).alias("s"), F.lit(-i).alias("r"), F.lit(k).alias("k")) for i, (k, ws) in enumerate(KEYWORDS.items())]))
     return F.when(best["s"] >= 0.3, best["k"]).otherwise(F.lit("general"))
 
@@ -155,7 +155,7 @@ _q = lambda p: p.replace("'", "''")
 _has = lambda t, v: "(" + " or ".join(f"contains({t}, '{_q(x)}')" for x in v) + ")"
 _first = lambda g, dflt: "case " + " ".join(f"when {_has('lower(text)', v)} then '{k}'" for k, v in g.items()) + f" else '{dflt}' end"
 _ab = reduce(lambda c, kv: f"regexp_replace({c}, '\\b{kv[0]}\\b', '{kv[0]} ({kv[1]})', 'g')", ABBREVIATIONS.items(), "text")
-_kw = "list_max([" + ", ".join(f"struct_pack(s := ({' + '.join(f'contains(l, {w!r})::int' for w in ws.split())}) / {len(ws.split())} * least(1.0::double, n / 1000), r := {-i}, k := '{k}')" for i, (k, ws) in enumerate(KEYWORDS.items())) + "])"
+_kw = "list_max([" + ", ".join(f"struct_pack(s := ({' + '.join(f'contains(l, {w!r})::int' for w in ws)}) / {len(ws)} * least(1.0::double, n / 1000), r := {-i}, k := '{k}')" for i, (k, ws) in enumerate(KEYWORDS.items())) + "])"
 ORACLE = {f"entities_{k}": "select doc_id, " + ", ".join(f"cast(len(list_distinct({' || '.join(f'''regexp_extract_all(text, '(?i){_q(p)}')''' for p in ps)})) as bigint) as {c}" for c, ps in v.items()) + r" from (select doc_id, regexp_replace(text, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Cyrillic}\p{Arabic}\p{Devanagari}À-ÿ]', '_', 'g') as text from documents)" for k, v in ENTITIES.items()} | {
     "pii_scan": "select doc_id, " + ", ".join(f"cast(len(regexp_extract_all(text, '{p}')) as bigint) as {k}" for k, p in PII.items()) + " from documents",
     "abbreviations_expanded": f"select doc_id, sha256({_ab}) as text_sha from documents",

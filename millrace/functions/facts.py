@@ -248,7 +248,7 @@ def text_categories(spark, d):
     """The three leading domains of each document by keywords."""
     from .entities import KEYWORDS
 
-    return _docs(spark, d).select("doc_id", F.array_join(top_categories(F.col("text"), {k: v.split() for k, v in KEYWORDS.items()}), "|").alias("categories"))
+    return _docs(spark, d).select("doc_id", F.array_join(top_categories(F.col("text"), KEYWORDS), "|").alias("categories"))
 
 
 def language_labels(spark, d):
@@ -273,7 +273,7 @@ def _step(c: str, *levels) -> str:
 def _categories() -> str:
     from .entities import KEYWORDS
 
-    rates = ", ".join(f"struct_pack(s := len(regexp_extract_all(lower(text), '\\b(?:{'|'.join(v.split())})\\b')) * 1000 / greatest(len({_W.format('text')}), 1), i := {-i}, k := '{k}')" for i, (k, v) in enumerate(KEYWORDS.items()))
+    rates = ", ".join(f"struct_pack(s := len(regexp_extract_all(lower(text), '\\b(?:{'|'.join(v)})\\b')) * 1000 / greatest(len({_W.format('text')}), 1), i := {-i}, k := '{k}')" for i, (k, v) in enumerate(KEYWORDS.items()))
     return f"select doc_id, array_to_string(list_transform(list_sort(list_filter([{rates}], lambda x: x.s >= 0.1), 'DESC')[1:3], lambda x: x.k), '|') as categories from documents"
 
 

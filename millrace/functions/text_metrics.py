@@ -9,7 +9,7 @@ from millrace.sources import table
 
 WORD = r"[\p{L}\p{N}_]+"
 # The stop words left out of lexical metrics.
-STOP_WORDS = "a an and are as at be by for from has he in is it its of on that the to was were will with".split()
+STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in", "is", "it", "its", "of", "on", "that", "the", "to", "was", "were", "will", "with")
 
 
 def words(text: Column) -> Column:

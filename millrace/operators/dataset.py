@@ -75,22 +75,13 @@ def sample_balanced(spark, d):
 
 
 def sample_quota(spark, d):
-    """Curriculum: each domain type its equal share of 200 documents, in a seeded order weighted by nothing, placed by ascending score."""
+    """Each domain type its equal share of 200 documents, drawn in a seeded order."""
     t = _base(spark, d)
     n = t.select("domain").distinct().count()
     s = take_by_stratum(t.select("doc_id", "domain", "score"), "domain", F.lit(200 // max(1, n)), [seeded_order(F.col("doc_id"), "17"), F.col("doc_id")])
     return s.select("doc_id", "domain", "score")
 
 
-def sample_rejection(spark, d):
-    """Best of two: each domain type its equal share of 200 documents; of seeded pairs the better is kept, pairs in seeded order."""
-    t = _base(spark, d).select("doc_id", "domain", "score")
-    n = t.select("domain").distinct().count()
-    pair = F.pmod(F.xxhash64(F.lit(17), F.floor(F.col("doc_id") / 2)), F.lit(1 << 40))
-    best = t.groupBy("domain", pair.alias("pair")).agg(F.max(F.struct("score", (-F.col("doc_id")).alias("i"))).alias("b")).select("domain", "pair", F.col("b.score").alias("score"), (-F.col("b.i")).alias("doc_id"))
-    return take_by_stratum(best, "domain", F.lit(200 // max(1, n)), [F.col("pair"), F.col("doc_id")]).select("doc_id", "domain", "score")
-
-
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
@@ -137,7 +128,7 @@ def domain_distribution(spark, d):
     return t.rollup("domain").agg(F.count(F.lit(1)).alias("docs"), F.sum("words").alias("words"), F.round(F.avg("score"), 5).alias("mean_score"))
 
 
-QUERIES = {f.__name__: f for f in (select_filters, sample_balanced, sample_quota, sample_rejection, chunks, format_instruction, format_conversation, dataset_analytics, domain_distribution)}
+QUERIES = {f.__name__: f for f in (select_filters, sample_balanced, sample_quota, chunks, format_instruction, format_conversation, dataset_analytics, domain_distribution)}
 
 
 def _oracle() -> dict:

@@ -257,6 +257,8 @@ QUERIES = {f.__name__: f for f in (dedup_exact, dedup_canonical_text, dedup_hist
 
 _CH = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '<script[^>]*>.*?</script>', '', 'gis'), '<style[^>]*>.*?</style>', '', 'gis'), '<!--.*?-->', '', 'gs'), '<[^>]+>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '" + '"' + r"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))"
 ORACLE = {
+    "dedup_minhash": r"""with t as (select doc_id, list_distinct(list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+', ' ', 'g'), ' '), ' '), lambda x: x <> '')) as w from documents), e as (select doc_id, len(w) as n, unnest(w) as tok from t),
+ p as (select a.doc_id as doc_a, b.doc_id as doc_b, a.n as na, b.n as nb, count(*) as i from e a join e b on a.tok = b.tok and a.doc_id < b.doc_id and least(a.n, b.n) >= 0.79 * greatest(a.n, b.n) group by all) select doc_a, doc_b, round(i / (na + nb - i), 6) as jaccard from p where i / (na + nb - i) >= 0.8""",
     "dedup_exact": "select doc_id, sha256(coalesce(text, '')) as hash, row_number() over (partition by sha256(coalesce(text, '')) order by doc_id) > 1 as is_duplicate from documents",
     "dedup_canonical_text": f"select doc_id, row_number() over (partition by {_CH} order by doc_id) > 1 as is_duplicate from documents",
     "dedup_history": r"select item_id, sha256(trim(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g'))) in (select lower(hash) from hash_dedup) as is_duplicate from batch_items",

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.sources import table
 
-# Bucket bounds of the value histogram, back-off and breaker limits.
+# Bucket bounds of the value histogram, breaker limits.
 BOUNDS = (5.0, 10.0, 25.0, 50.0, 75.0, 100.0, 250.0, 500.0, 1000.0)
-BACKOFF = {"failures": 5, "window_s": 60, "pause_s": 120}
 BREAKER = {"failures": 5, "open_s": 60, "successes": 3}
 
 
@@ -72,12 +71,6 @@ def degradation(spark, d):
     return e.groupBy("user_id").agg(F.coalesce(F.bool_or(F.col("value") < 0.9 * F.col("prev")), F.lit(False)).alias("degraded"))
 
 
-def backoff_windows(spark, d):
-    """Events at which a user has five or more events within the trailing hour."""
-    w = Window.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-3600 * 1_000_000, 0)
-    return _events(spark, d).withColumn("n", F.count(F.lit(1)).over(w)).filter(F.col("n") >= BACKOFF["failures"]).select("event_id", "n")
-
-
 def dead_letters(spark, d):
     """Upsert by (user, type): how often, first and last time, and the latest value."""
     return _events(spark, d).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("failure_count"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.max(F.struct("ts", "event_id", "value")).alias("m")).select("user_id", "event_type", "failure_count", "first_ts", "last_ts", F.col("m.value").alias("last_value"), F.least(F.lit(86400.0), 60 * F.pow(F.lit(2.0), F.least(F.col("failure_count"), F.lit(20)))).alias("retry_after_s"))
@@ -118,7 +111,7 @@ def breaker_replay(spark, d):
     return replay_breaker(e).select(F.col("key").alias("user_id"), F.col("seq").alias("event_id"), "state")
 
 
-QUERIES = {f.__name__: f for f in (stage_timings, failure_stats, failures_last_day, histogram_value, percentiles_nearest, cost_report, quality_trend, degradation, backoff_windows, dead_letters, breaker_replay)}
+QUERIES = {f.__name__: f for f in (stage_timings, failure_stats, failures_last_day, histogram_value, percentiles_nearest, cost_report, quality_trend, degradation, dead_letters, breaker_replay)}
 
 ORACLE = {
     "stage_timings": "select event_type, count(*) as n, round(avg(value), 4) as mean, min(value) as least, max(value) as most, round(sum(value), 2) as total from events group by event_type",
@@ -129,6 +122,5 @@ ORACLE = {
     "cost_report": "select user_id, total, n, mean, case when mean > 0.5 then n else 0 end as opportunities from (select user_id, round(sum(value), 2) as total, count(*) as n, round(avg(value), 4) as mean from events group by user_id)",
     "quality_trend": "select event_id, late < early * 0.9 as degrading, round(case when early > 0 then 1 - late / early end, 5) as drop from (select event_id, list_avg(v[1:3]) as early, list_avg(v[greatest(len(v) - 2, 1):len(v)]) as late from (select event_id, list(value) over (partition by user_id order by ts, event_id rows between 9 preceding and current row) as v from events where value is not null) where len(v) >= 3)",
     "degradation": "select user_id, coalesce(bool_or(value < 0.9 * prev), false) as degraded from (select user_id, value, lag(value) over (partition by user_id order by ts, event_id) as prev from events) group by user_id",
-    "backoff_windows": "select event_id, n from (select event_id, count(*) over (partition by user_id order by ts range between interval 1 hour preceding and current row) as n from events) where n >= 5",
     "dead_letters": "select user_id, event_type, count(*) as failure_count, min(ts) as first_ts, max(ts) as last_ts, arg_max(value, struct_pack(a := ts, b := event_id)) as last_value, least(86400.0::double, 60 * pow(2.0::double, least(count(*), 20))) as retry_after_s from events group by user_id, event_type",
 }

@@ -73,7 +73,7 @@ def relevance(text: Column, kind: Column) -> Column:
     low = F.lower(text)
     out = F.lit(0.0)
     for k, ws in KEYWORDS.items():
-        out = F.when(kind == k, sum((low.contains(w).cast("int") for w in ws.split()), F.lit(0)) / len(ws.split())).otherwise(out)
+        out = F.when(kind == k, sum((low.contains(w).cast("int") for w in ws), F.lit(0)) / len(ws)).otherwise(out)
     return out
 
 
@@ -129,7 +129,7 @@ def _sql() -> str:
     from millrace.functions.text_metrics import _SYL, _T
 
     lang = LANG["lang_patterns"].replace("select doc_id, detected from d", "").strip()
-    rel = "case " + " ".join(f"when domain_type = '{k}' then ({' + '.join(f'contains(lower(text), {w!r})::int' for w in ws.split())}) / {len(ws.split())}" for k, ws in KEYWORDS.items()) + " else 0 end"
+    rel = "case " + " ".join(f"when domain_type = '{k}' then ({' + '.join(f'contains(lower(text), {w!r})::int' for w in ws)}) / {len(ws)}" for k, ws in KEYWORDS.items()) + " else 0 end"
     spam = " + ".join(f"contains(lower(text), '{w}')::int" for w in SPAM)
     return (
         lang.rstrip() + ", " + _T.strip()[len("with "):].rsplit("),\nc as", 1)[0] + ")"
