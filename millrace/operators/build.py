@@ -107,7 +107,6 @@ class RunConfig:
     order: tuple = CASCADE
     min_quality: float = 0.6
     near_dedup: bool = True
-    retries: int = 3
 
     @classmethod
     def load(cls, path: str) -> RunConfig:

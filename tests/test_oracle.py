@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from millrace import queries as core
@@ -17,7 +18,7 @@ def _plain(v):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
         return [_plain(x) for x in v]
-    if v is None or v != v or str(v) in ("NaT", "<NA>"):
+    if v is None or v is pd.NA or v is pd.NaT or v != v:
         return None
     return round(v, 5) if isinstance(v, float) else str(v) if hasattr(v, "isoformat") else v
 
