@@ -16,6 +16,7 @@ l / splits at least. The meetings of one part are worked on in blocks of HELD.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -283,3 +284,9 @@ def candidates(index: DataFrame, shape: tuple[int, int]) -> DataFrame:
     """Distinct pairs (a, b), a the earlier by (seq, id) and b of seq 0 or more: every similar pair is among them. One task a slot."""
     parts, splits = shape
     return index.repartitionById(parts * splits, F.col("slot")).sortWithinPartitions("slot").mapInArrow(_meet_slots(splits), "a long, b long").distinct()
+
+
+def candidates_of_slots(slots: list[DataFrame], splits: int) -> DataFrame:
+    """As ``candidates``, for an index whose slots (PACKED) lie apart: each is read by one task where it lies, and nothing is shuffled but pairs."""
+    met = [x.coalesce(1).mapInArrow(_meet_slots(splits), "a long, b long") for x in slots]
+    return reduce(DataFrame.unionByName, met).distinct()
