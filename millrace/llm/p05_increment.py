@@ -13,9 +13,7 @@ last in every prefix, where they are seldom listed.
 
 from __future__ import annotations
 
-import json
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +24,8 @@ from millrace.session import cut_lineage, ensure_checkpoint_dir
 from millrace.sources import table
 
 from .p02_neardup import verified
-from .windows import PACKED, build_index, candidates, candidates_of_slots, index_shape, sign, window_order
+from .windows import PACKED, build_index, candidates_of_slots, index_parts, sign, window_order
 
-#: Slots up to which each is read where it lies; a larger index is shuffled by slot.
-MOST_READS = 256
 DIGESTS = "id long, seq long, digest binary"
 
 
@@ -52,13 +48,13 @@ def resolve(links: DataFrame) -> DataFrame:
 
 
 class HistoryIndex:
-    """The stored index of accepted texts: ``postings`` by slot, ``digests`` (one text for each), and ``plan``, the order and shape
-    that all its lists share. Each delivery adds files; nothing stored is rewritten."""
+    """The stored index of accepted texts: ``postings`` by slot, ``digests`` (one text for each), and ``plan``, the order and the
+    number of parts that all its lists share. Each delivery adds files; nothing stored is rewritten."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         plan = spark.read.parquet(f"{folder}/plan").first()
-        self.shape = tuple(json.loads(plan.shape))
+        self.parts = plan.parts
         self.order = spark.sparkContext.broadcast(bytes(plan.window_order))
 
     @classmethod
@@ -66,8 +62,8 @@ class HistoryIndex:
         """history: id, seq (negative), text. Of equal texts the one of least (seq, id) is kept; null texts are not stored."""
         spark = history.sparkSession
         texts = history.filter(F.col("text").isNotNull())
-        plan = [(json.dumps(index_shape(texts)), bytearray(window_order(texts)))]
-        spark.createDataFrame(plan, "shape string, window_order binary").coalesce(1).write.parquet(f"{folder}/plan")
+        plan = [(index_parts(texts), bytearray(window_order(texts)))]
+        spark.createDataFrame(plan, "parts int, window_order binary").coalesce(1).write.parquet(f"{folder}/plan")
         index = cls(spark, folder)
         index.append(texts)
         return index
@@ -82,7 +78,7 @@ class HistoryIndex:
         self._list(texts.join(spare, "id", "left_anti"), f"{self.folder}/postings")
 
     def _list(self, texts: DataFrame, to: str) -> None:
-        build_index(texts, self.order, self.shape).write.mode("append").partitionBy("slot").option("compression", "zstd").parquet(to)
+        build_index(texts, self.order, self.parts).write.mode("append").partitionBy("slot").option("compression", "zstd").parquet(to)
 
     def _digests(self) -> DataFrame:
         return self.spark.read.schema(DIGESTS + ", delivery string").parquet(f"{self.folder}/digests").drop("delivery")
@@ -94,15 +90,11 @@ class HistoryIndex:
     def _met(self, staged: str) -> DataFrame:
         """Pairs of a staged text with a stored or staged one that share enough listed windows."""
         columns = [c.split()[0] for c in PACKED.split(", ")]
-        n = self.shape[0] * self.shape[1]
         places = (f"{self.folder}/postings", staged)
-        if n > MOST_READS:
-            both = [self.spark.read.schema(PACKED).parquet(p).select(*columns) for p in places if self._exists(p)]
-            return candidates(reduce(DataFrame.unionByName, both), self.shape)
         apart = PACKED.split(", ", 1)[1]
-        slots = [(k, [f"{p}/slot={k}" for p in places if self._exists(f"{p}/slot={k}")]) for k in range(n)]
+        slots = [(k, [f"{p}/slot={k}" for p in places if self._exists(f"{p}/slot={k}")]) for k in range(self.parts)]
         frames = [self.spark.read.schema(apart).parquet(*ps).select(F.lit(k).alias("slot"), *columns[1:]) for k, ps in slots if ps]
-        return candidates_of_slots(frames, self.shape[1]) if frames else self.spark.createDataFrame([], "a long, b long")
+        return candidates_of_slots(frames) if frames else self.spark.createDataFrame([], "a long, b long")
 
     def settle(self, items: DataFrame, accepted: DataFrame, append: bool = True) -> DataFrame:
         """(id, of): each item that repeats a stored text or an earlier accepted item, and which one; accepted ones are appended.

@@ -86,6 +86,26 @@ def test_scattered_edits_at_the_threshold_are_candidates(spark):
     assert {(x.a, x.b) for x in got.collect()} == want
 
 
+def test_a_larger_index_has_the_same_candidates(spark, monkeypatch):
+    from millrace.llm import windows as w
+    from millrace.llm.p02_neardup import similar_candidates
+
+    r, rows = random.Random(8), []
+    phrases = [" ".join(words(f, 3)) for f in range(300)]
+    for i in range(120):
+        t = r.sample(phrases, 60)
+        rows += [(2 * i, " ".join(t)), (2 * i + 1, " ".join([*t[:50], *r.sample(phrases, 3), *t[53:]]))]
+    sets = {i: window_set(canonical(t)) for i, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and (lambda x: x[0] * 10 >= x[1] * 7)(similarity(sets[a], sets[b]))}
+    docs = spark.createDataFrame([(i, 0, t) for i, t in rows], "id long, seq long, text string").repartition(6)
+    monkeypatch.setattr(w, "LEAST_PARTS", 8)
+    monkeypatch.setattr(w, "MOST_PARTS", 8)
+    whole = {(x.a, x.b) for x in similar_candidates(docs).collect()}
+    monkeypatch.setattr(w, "SLOT", 2000)
+    parted = {(x.a, x.b) for x in similar_candidates(docs).collect()}
+    assert want <= parted and parted == whole and len(want) > 100
+
+
 def test_a_text_given_twice_in_one_record_is_similar(spark):
     t = variants()
     got = near_classes(spark.createDataFrame([(1, t[0]), (2, f"{t[0]} {t[0]}"), (3, t[10])], "id long, text string"))[1]
