@@ -106,6 +106,20 @@ def test_a_larger_index_has_the_same_candidates(spark, monkeypatch):
     assert want <= parted and parted == whole and len(want) > 100
 
 
+def test_slots_that_lie_apart_are_met_by_a_task_each(spark):
+    from millrace.llm import windows as w
+
+    docs = spark.createDataFrame([(i, 0, t) for i, t in variants().items()], "id long, seq long, text string")
+    index = w.build_index(docs, spark.sparkContext.broadcast(bytes(1 << w.TABLE_BITS)), 8).cache()
+    sc = spark.sparkContext
+    sc.setJobGroup("slots apart", "")
+    got = {(r.a, r.b) for r in w.candidates_of_slots([index.filter(F.col("slot") == k) for k in range(8)]).collect()}
+    stages = [x for j in sc.statusTracker().getJobIdsForGroup("slots apart") for x in sc.statusTracker().getJobInfo(j).stageIds]
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert max(x.numTasks for x in map(sc.statusTracker().getStageInfo, stages) if x) >= 8
+    assert got == {(r.a, r.b) for r in w.candidates(index, 8).collect()} and got
+
+
 def test_a_text_given_twice_in_one_record_is_similar(spark):
     t = variants()
     got = near_classes(spark.createDataFrame([(1, t[0]), (2, f"{t[0]} {t[0]}"), (3, t[10])], "id long, text string"))[1]
