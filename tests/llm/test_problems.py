@@ -106,6 +106,17 @@ def test_a_larger_index_has_the_same_candidates(spark, monkeypatch):
     assert want <= parted and parted == whole and len(want) > 100
 
 
+def test_windows_are_ordered_by_counts_of_all_texts(spark):
+    from millrace.llm import windows as w
+
+    texts = [*variants().values(), None, "", "ab", " ".join(words(1, 4000)), " ".join(words(2, 4000)[2:]), " ".join(words(2, 4000))]
+    n = np.zeros(1 << w.TABLE_BITS, np.int64)
+    for t in texts:
+        np.add.at(n, (w.window_hashes(canonical(t)) >> np.uint64(64 - w.TABLE_BITS)).astype(np.int64), 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(5)
+    assert (np.frombuffer(w.window_order(docs), np.uint8) == np.clip(np.floor(2 * np.log2(np.maximum(n, 1))), 0, 15)).all() and n.max() > 1
+
+
 def test_slots_that_lie_apart_are_met_by_a_task_each(spark):
     from millrace.llm import windows as w
 
