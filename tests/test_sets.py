@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from millrace.operators import dedup, sets
+from millrace.operators import dedup, edits, sets
 
 
 def test_pairs_of_all_levels_against_brute_force(spark):
@@ -32,3 +32,26 @@ def test_no_checkpoint_has_a_row_for_each_part(spark, monkeypatch):
     assert dedup.hybrid_verdicts(df).filter("verdict = 'unique'").count() == 100
     assert dedup.all_pairs(*dedup.similar_sets(df, dedup.tokens(F.col("text")), 0.8)).count() == 0
     assert max(most) <= 100 + 16 * spark.sparkContext.defaultParallelism
+
+
+def test_strings_against_brute_force_and_without_rows_of_grams(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    most, cut = [], dedup.cut_lineage
+    monkeypatch.setattr(dedup, "cut_lineage", lambda df: [d := cut(df), most.append(d.count())][0])
+    texts = ["", "a", "b", "ab", "一二三四五六七", "一二三四五六八"]
+    for k in range(60):
+        base = "".join(rng.choice(list("abcdefgh "), int(rng.integers(8, 90))))
+        for _ in range(4):
+            t = list(base)
+            for _ in range(int(rng.integers(0, len(t) // 4))):
+                at = int(rng.integers(0, len(t)))
+                t[at] = ("", "x", t[at] + "y")[int(rng.integers(0, 3))]
+            texts.append("".join(t))
+    df = spark.createDataFrame(list(enumerate(dict.fromkeys(texts))), "id long, t string")
+    monkeypatch.setattr(edits, "BLOCK", 50)
+    for threshold in (0.75, 0.85):
+        x, y = (df.select(F.col("id").alias(s), F.col("t").alias(f"t{s}")) for s in ("a", "b"))
+        sim = 1 - F.levenshtein("ta", "tb") / F.greatest(F.length("ta"), F.length("tb"))
+        want = {(r.a, r.b) for r in x.crossJoin(y).filter((F.col("a") < F.col("b")) & (sim >= threshold)).collect()}
+        assert {(r.a, r.b) for r in dedup.fuzzy_pairs(df, threshold).collect()} == want and len(want) > 40
+    assert max(most, default=0) <= df.count()
