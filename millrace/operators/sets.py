@@ -146,8 +146,8 @@ def _pack(order, make: Callable, threshold: float, splits: list[int]):
     return run
 
 
-def _near(token, lo, to, first, mine, most):
-    """(i, j) arrays: of asks i the entries j after ``lo`` and before ``to`` whose first words differ in no more than ``most`` bits.
+def _near(token, lo, to, maps, mine, most):
+    """(i, j) arrays: of asks i the entries j after ``lo`` and before ``to`` whose bitmaps differ in no more than ``most`` bits.
 
     Asks of one long list are laid against it as a matrix, those of short lists are spread out together."""
     if not len(token):
@@ -161,7 +161,7 @@ def _near(token, lo, to, first, mine, most):
         while s < e:
             r = min(e, s + max(1, HELD // int(to[e - 1] - lo[s])))
             at, end = int(lo[s]) + 1, int(to[r - 1])
-            i, j = np.divmod(np.flatnonzero(np.bitwise_count(mine[s:r, None] ^ first[None, at:end]) <= most[s:r, None]), end - at)
+            i, j = np.divmod(np.flatnonzero(sum(np.bitwise_count(w[s:r, None] ^ v[None, at:end]) for w, v in zip(mine, maps, strict=True)) <= most[s:r, None]), end - at)
             i, j = i + s, j + at
             ok = (j > lo[i]) & (j < to[i])
             yield i[ok], j[ok]
@@ -173,7 +173,7 @@ def _near(token, lo, to, first, mine, most):
         end = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + HELD, "right")))
         i, cc = asks[at:end], c[at:end]
         j = np.arange(cc.sum()) + np.repeat(lo[i] + 1 - (np.cumsum(cc) - cc), cc)
-        ok = np.flatnonzero(np.bitwise_count(np.repeat(mine[i], cc) ^ first[j]) <= np.repeat(most[i], cc))
+        ok = np.flatnonzero(sum(np.bitwise_count(np.repeat(w[i], cc) ^ v[j]) for w, v in zip(mine, maps, strict=True)) <= np.repeat(most[i], cc))
         yield i[np.searchsorted(np.cumsum(cc), ok, "right")], j[ok]
         at = end
 
@@ -197,8 +197,7 @@ def _meet(rows: list, threshold: float):
     own = x[asks]
     # no pair differs in more than this, whatever the larger size is
     most = np.minimum(np.floor(n[own] * (1 - threshold) / threshold + 1e-9), 255).astype(np.uint8)
-    first, mine = maps[0][x], maps[0][own]
-    for i, j in _near(key[asks] >> np.uint64(33), asks, asks + 1 + c, first, mine, most):
+    for i, j in _near(key[asks] >> np.uint64(33), asks, asks + 1 + c, maps[:, x], maps[:, own], most):
         a, b = own[i], x[j]
         both = n[a] + n[b]
         left = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9).astype(np.int64)
